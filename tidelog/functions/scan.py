@@ -89,8 +89,10 @@ def scan(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Scan:
     return Scan(*[np.concatenate(c) for c in zip(*found)], error)
 
 
-def _buffer(column: pa.Array):
+def binary_buffer(column: pa.Array):
     """Byte buffer of a binary array with start and end of every value (null is empty)."""
+    if pa.types.is_string(column.type):
+        column = column.cast(pa.large_string())
     column = column.cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     body = column.buffers()[2]
@@ -101,13 +103,17 @@ def _buffer(column: pa.Array):
     return data, start, end
 
 
+def slices(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Positions of all bytes of the given ranges, one range after the other."""
+    ends = np.cumsum(length)
+    return np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def _gather(data, start, length) -> pa.Array:
     """Binary array of the given slices of ``data``."""
-    ends = np.cumsum(length)
-    offsets = np.concatenate(([0], ends)).astype(np.int64)
-    where = np.repeat(start - offsets[:-1], length) + np.arange(offsets[-1])
+    offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int64)
     return pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(start), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[where].tobytes())]
+        pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[slices(start, length)])]
     )
 
 
@@ -179,7 +185,7 @@ def _text(column: pa.Array, error: np.ndarray) -> pa.Array:
 
 def decode_batch(column: pa.Array, fields: list[Field]) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:
     """Typed columns, error per row, and whether a known field came with another wire type."""
-    data, start, end = _buffer(column)
+    data, start, end = binary_buffer(column)
     n = len(start)
     found = scan(data, start, end)
     error, mismatch, out = found.error, np.zeros(n, bool), []
@@ -280,7 +286,7 @@ def wire_fields(df: DataFrame, keep: list[str], payload: str = "payload") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = scan(*_buffer(batch.column(payload)))
+            found = scan(*binary_buffer(batch.column(payload)))
             broken = np.flatnonzero(found.error != None)  # noqa: E711
             order = np.argsort(found.row, kind="stable")
             rows = found.row[order]

@@ -1,4 +1,4 @@
-"""Envelope and message bytes as column expressions."""
+"""Envelopes, sizes and signed codings as column expressions."""
 
 from __future__ import annotations
 
@@ -58,29 +58,6 @@ def varint_length(n: Column) -> Column:
     return length.otherwise(F.lit(9))
 
 
-def _byte(n: Column) -> Column:
-    """One byte, for numbers below 256."""
-    return F.unhex(F.lpad(F.hex(n.cast("bigint")), 2, "0"))
-
-
-def varint(n: Column, bits: int = 64) -> Column:
-    """A number as varint bytes, low seven bits first.
-
-    ``bits`` is 32 for numbers known to be lengths. Each byte mentions ``n`` three times,
-    so the expression stays small.
-    """
-    n = n.cast("bigint")
-    parts = []
-    for shift in range(0, bits, 7):
-        rest = F.shiftrightunsigned(n, shift) if shift else n
-        low = rest.bitwiseAND(F.lit(127))
-        if shift + 7 < bits:
-            low = low + F.when(F.shiftrightunsigned(n, shift + 7) != 0, F.lit(128)).otherwise(F.lit(0))
-        byte = F.lpad(F.hex(low), 2, "0")
-        parts.append(byte if shift == 0 else F.when(rest != 0, byte).otherwise(F.lit("")))
-    return F.unhex(F.concat(*parts))
-
-
 def zigzag(n: Column) -> Column:
     """A signed number in the sint coding."""
     n = n.cast("bigint")
@@ -103,29 +80,6 @@ def zigzag_misread(n: Column, bits: int = 32) -> tuple[Column, Column]:
     return unzigzag(n), zigzag(n)
 
 
-def double_bytes(x: Column) -> Column:
-    """Eight little-endian bytes of a double, read off its hexadecimal notation.
-
-    That notation is ``-0x1.8p3``: a leading digit that is 0 only for subnormal numbers,
-    up to 13 hexadecimal digits, and a power of two.
-    """
-    text = F.format_string("%a", x)
-    halves = F.split(text, "p")
-    mantissa = F.rpad(F.get(F.split(F.get(halves, F.lit(0)), r"\."), F.lit(1)), 13, "0")
-    exponent = F.when(F.abs(x) < F.lit(2.2250738585072014e-308), F.lit(0)).otherwise(
-        F.get(halves, F.lit(1)).cast("bigint") + 1023
-    )
-    sign = F.when(text.startswith("-"), F.lit(2048)).otherwise(F.lit(0))
-    bits = (
-        F.when(F.isnan(x), F.lit("7FF8000000000000"))
-        .when(x == F.lit(float("inf")), F.lit("7FF0000000000000"))
-        .when(x == F.lit(float("-inf")), F.lit("FFF0000000000000"))
-        .otherwise(F.concat(F.lpad(F.hex((exponent + sign).cast("bigint")), 3, "0"), mantissa))
-    )
-    turned = F.regexp_replace(bits, "(..)(..)(..)(..)(..)(..)(..)(..)", "$8$7$6$5$4$3$2$1")
-    return F.unhex(turned)
-
-
 def _is_set(f: Field, col: Column) -> Column:
     if f.type in ("string", "bytes"):
         return F.octet_length(col) > 0
@@ -158,45 +112,6 @@ def _on_wire(f: Field, col: Column) -> Column:
     return col
 
 
-def _body(f: Field, col: Column) -> Column:
-    if f.type == "double":
-        return double_bytes(col)
-    if f.type in ("string", "bytes"):
-        return F.concat(varint(F.octet_length(col), 32), col.cast("binary"))
-    if f.type == "timestamp":
-        parts = [
-            F.when(part != 0, F.concat(F.unhex(F.lit(tag)), varint(part))).otherwise(F.unhex(F.lit("")))
-            for part, tag in zip(_clock(col), ("08", "10"))
-        ]
-        inner = F.concat(*parts)
-        return F.concat(_byte(F.octet_length(inner)), inner)
-    if WIRE[f.type][0] == 0:
-        return varint(_on_wire(f, col))
-    raise ValueError(f"no column expression for type {f.type}")
-
-
-def encode_message(fields: list[Field], columns: dict[str, Column] | None = None) -> Column:
-    """PRJ-5: message bytes from typed columns; zero values take no bytes.
-
-    Built from column functions only, so encoding stays in generated code.
-    """
-    empty = F.unhex(F.lit(""))
-    parts = []
-    for f in sorted(fields):
-        col = (columns or {}).get(f.name, F.col(f.name))
-        tag = F.unhex(F.lit("".join(f"{b:02x}" for b in _varint_bytes(_tag(f)))))
-        parts.append(F.when(_is_set(f, col), F.concat(tag, _body(f, col))).otherwise(empty))
-    return F.concat(*parts)
-
-
-def _varint_bytes(n: int) -> list[int]:
-    out = []
-    while n > 127:
-        out.append(n & 127 | 128)
-        n >>= 7
-    return [*out, n]
-
-
 def encoded_size(fields: list[Field], columns: dict[str, Column] | None = None) -> Column:
     """PRJ-14: bytes a row would take, from its columns, without encoding it."""
     sizes = []

@@ -271,7 +271,7 @@ def _numbered(whole: DataFrame, now_ms: int) -> DataFrame:
     is_last = F.lead("segment_base").over(order).isNull()
     open_still = (F.col("n_bytes") < F.col("_bytes")) & (F.lit(now_ms) < F.col("first_ms") + F.col("_ms"))
     return whole.select(
-        *ADDRESS, (F.row_number().over(order) - 1).alias("segment_id"),
+        *ADDRESS, (F.row_number().over(order) - 1).cast("bigint").alias("segment_id"),
         "segment_base", "last_offset", "n_records", "n_bytes", "first_ms", "last_ms",
         (is_last & open_still).alias("is_active"),
     )

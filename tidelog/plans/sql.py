@@ -46,7 +46,7 @@ EXPIRED = POSITIONS.replace(
 TYPES = f"""log AS (
   SELECT topic, partition, row_number() OVER (PARTITION BY topic, partition ORDER BY event_id) - 1 AS "offset",
          event_id, user_id, props AS "value", ts AS "timestamp"
-  FROM (SELECT 'events.' || CASE WHEN event_type = 'purchase' AND "value" > 400 THEN 'purchse' ELSE event_type END AS topic,
+  FROM (SELECT 'events.' || CASE WHEN event_type = 'purchase' AND "value" > 100 THEN 'purchse' ELSE event_type END AS topic,
                {part(USER)} AS partition, event_id, user_id, props, ts FROM events))"""
 
 ALLOWED = """allowed AS (SELECT * FROM (VALUES ('events.click'), ('events.error'), ('events.purchase'),
@@ -63,15 +63,15 @@ PRODUCED = LOG + """, produced AS (
 
 DELIVERY = """delivery AS (
   SELECT 'events' AS topic, event_id AS seq, ts AS sent_at,
-         CASE WHEN NOT (event_type = 'signup' AND "value" > 300)
+         CASE WHEN NOT (event_type = 'signup' AND "value" > 100)
               THEN epoch_us(ts) + round("value" * 1000)::BIGINT END AS acked_us,
-         CASE WHEN event_type = 'signup' AND "value" > 450 THEN 'BROKER_NOT_AVAILABLE'
-              WHEN event_type = 'signup' AND "value" > 300 THEN 'MESSAGE_TIMED_OUT' END AS error,
+         CASE WHEN event_type = 'signup' AND "value" > 150 THEN 'BROKER_NOT_AVAILABLE'
+              WHEN event_type = 'signup' AND "value" > 100 THEN 'MESSAGE_TIMED_OUT' END AS error,
          CASE WHEN event_type IN ('view', 'click') THEN 50 ELSE 0 END AS linger_ms
   FROM events),
 survived AS (
   SELECT event_id AS seq FROM events
-  WHERE NOT (event_type = 'signup' AND "value" > 300) AND NOT (event_type = 'view' AND "value" > 480))"""
+  WHERE NOT (event_type = 'signup' AND "value" > 100) AND NOT (event_type = 'view' AND "value" > 150))"""
 
 OKEY = "o_orderkey::VARCHAR"
 ORDERS = f"""typed AS (
