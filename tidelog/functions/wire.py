@@ -50,12 +50,8 @@ def classify_value(value: str = "value") -> Column:
 
 
 def varint_length(n: Column) -> Column:
-    """Bytes a number takes as a varint; negative numbers take ten."""
-    n = n.cast("bigint")
-    length = F.when(n < 0, F.lit(10))
-    for size in range(1, 9):
-        length = length.when(n < F.lit(1 << (7 * size)), F.lit(size))
-    return length.otherwise(F.lit(9))
+    """Bytes a number takes as a varint: seven bits each; negative numbers have 64 bits."""
+    return F.ceil(F.char_length(F.bin(n.cast("bigint"))) / F.lit(7)).cast("int")
 
 
 def zigzag(n: Column) -> Column:
@@ -99,9 +95,7 @@ def _tag_length(f: Field) -> int:
 
 
 def _clock(col: Column) -> tuple[Column, Column]:
-    micros = F.unix_micros(col)
-    seconds = F.floor(F.unix_millis(col) / F.lit(1000)).cast("bigint")
-    return seconds, (micros - seconds * 1000000) * 1000
+    return F.unix_seconds(col), F.pmod(F.unix_micros(col), F.lit(1000000)) * 1000
 
 
 def _on_wire(f: Field, col: Column) -> Column:
@@ -125,11 +119,8 @@ def encoded_size(fields: list[Field], columns: dict[str, Column] | None = None)
         elif f.type == "float":
             body = F.lit(4)
         elif f.type == "timestamp":
-            inner = reduce(
-                lambda a, b: a + b,
-                [F.when(p != 0, varint_length(p) + 1).otherwise(F.lit(0)) for p in _clock(col)],
-            )
-            body = varint_length(inner) + inner
+            seconds, nanos = (F.when(p != 0, varint_length(p) + 1).otherwise(F.lit(0)) for p in _clock(col))
+            body = seconds + nanos + 1
         else:
             body = varint_length(_on_wire(f, col))
         sizes.append(F.when(_is_set(f, col), body + F.lit(_tag_length(f))).otherwise(F.lit(0)))

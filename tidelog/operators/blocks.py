@@ -76,7 +76,8 @@ def _number_blocks(df, groups, unique, out, width):
     starts = _starts(sizes, groups, "_blk").drop("_n")
     inside = Window.partitionBy(*groups, "_blk").orderBy(unique)
     return (
-        marked.join(starts, [*groups, "_blk"])
+        # A left join, though every block is found: it adds no null checks on computed keys.
+        marked.join(starts, [*groups, "_blk"], "left")
         .withColumn(out, F.row_number().over(inside) - 1 + F.col("_start"))
         .drop("_blk", "_start")
     )
@@ -110,14 +111,18 @@ def before(
     wanted: dict[str, tuple[str, str]],
     width: int = BLOCK,
     inclusive: bool = False,
+    top: int | None = None,
 ) -> DataFrame:
     """Add aggregates over all rows that come before a row in its group.
 
     ``wanted`` maps an output column to ``(kind, column)``; kinds are ``max``, ``min``,
     ``sum``, ``bit_or`` and ``last`` (the value in the row just before). ``order`` must be
     a non-negative integral column, unique in its group. With ``inclusive`` the row
-    itself counts too (not for ``last``).
+    itself counts too (not for ``last``). ``top`` is the highest value of ``order``, if it
+    is known: when it is below ``width`` every group is one block, and no carrying is needed.
     """
+    if top is not None and top < width:
+        return _within(df, keys, order, wanted, inclusive)
     marked = df.withColumn("_blk", block_id(order, width))
     summary = marked.groupBy(*keys, "_blk").agg(
         *[_block_value(kind, col, order).alias(f"_b_{out}") for out, (kind, col) in wanted.items()]
@@ -146,6 +151,14 @@ def before(
     return joined.drop("_blk", *[f"_c_{out}" for out in wanted])
 
 
+def _within(df, keys, order, wanted, inclusive):
+    group = Window.partitionBy(*keys).orderBy(order)
+    frame = group.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    for out, (kind, col) in wanted.items():
+        df = df.withColumn(out, F.lag(col).over(group) if kind == "last" else _over(kind, col, frame))
+    return df
+
+
 def _block_value(kind: str, col: str, order: str) -> Column:
     if kind == "last":
         return F.max_by(F.struct(F.col(col).alias("v")), order)

@@ -10,9 +10,16 @@ BROADCAST_ROWS = 200_000
 SALTS = 64
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``rows`` rows, reading no more than that."""
-    return df.limit(rows + 1).count() <= rows
+def settled(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """The table evaluated once, if it has at most ``rows`` rows; else None.
+
+    No more than ``rows + 1`` rows are fetched. What is behind such a table may be a pass
+    over a whole log, so it is not run a second time to fill the broadcast.
+    """
+    found = table.limit(rows + 1).toArrow()
+    if found.num_rows > rows:
+        return None
+    return table.sparkSession.createDataFrame(found, table.schema)
 
 
 def lookup(
@@ -30,8 +37,9 @@ def lookup(
     partition holding a third of the log is still shared by many tasks.
     ``how`` is inner, left, left_semi or left_anti with the log on the left.
     """
-    if is_small(table, rows):
-        return log.join(F.broadcast(table), on, how)
+    small = settled(table, rows)
+    if small is not None:
+        return log.join(F.broadcast(small), on, how)
     if log.isStreaming:
         return log.join(table, on, how)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))

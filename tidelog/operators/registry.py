@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidelog.operators.blocks import before, number_rows
+from tidelog.scratch import cut
 
-# Versions of one subject that are ordered in one task.
+# Versions of one subject that are ordered in one task; longer histories are cut into blocks.
 WIDTH = 1 << 16
 
 # Type changes that keep the meaning of old bytes (from, to).
@@ -151,7 +152,7 @@ def _safe_mask(kind: str) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(kind)), F.lit(0)).cast("bigint")
 
 
-def field_history(registry: DataFrame, fields: DataFrame) -> DataFrame:
+def field_history(registry: DataFrame, fields: DataFrame, width: int = WIDTH) -> DataFrame:
     """Each declared field of each version with the faults it has against earlier versions.
 
     ``*_prev`` compares with the version just before, ``*_any`` with all earlier ones.
@@ -166,8 +167,11 @@ def field_history(registry: DataFrame, fields: DataFrame) -> DataFrame:
         .withColumn("_then", F.when(~F.col("reserved"), F.col("version")))
         .withColumn("_row", F.struct("version", "reserved", "_type", "name"))
     )
+    top = registry.agg(F.max("version")).first()[0] or 0
+    # With carrying, each pass reads its input twice: write it down, do not compute it again.
+    settle = cut if top >= width else (lambda df: df)
     by_number = before(
-        rows, ["subject", "field_no"], "version",
+        settle(rows), ["subject", "field_no"], "version",
         {
             "_prev": ("last", "_row"),
             "_types": ("bit_or", "_type"),
@@ -176,13 +180,13 @@ def field_history(registry: DataFrame, fields: DataFrame) -> DataFrame:
             "_last_used": ("max", "_then"),
             "_ever_reserved": ("max", "_is_reserved"),
         },
-        WIDTH,
+        width, top=top,
     )
     live = by_number.where(~F.col("reserved")).withColumn("_place", F.struct("version", "field_no"))
     by_name = before(
-        live, ["subject", "name"], "version",
+        settle(live), ["subject", "name"], "version",
         {"_placed": ("last", "_place"), "_low_no": ("min", "_no"), "_high_no": ("max", "_no")},
-        WIDTH,
+        width, top=top,
     )
     just_before = F.col("version") - 1
     prev_here = F.col("_prev.version") == just_before
@@ -208,7 +212,7 @@ def field_history(registry: DataFrame, fields: DataFrame) -> DataFrame:
     )
 
 
-def compat(registry: DataFrame, fields: DataFrame) -> DataFrame:
+def compat(registry: DataFrame, fields: DataFrame, width: int = WIDTH) -> DataFrame:
     """SCH-6: verdict of every version under every mode, one row per version.
 
     Retyping to an unsafe type, moving a name to another number, and reusing a number
@@ -220,7 +224,7 @@ def compat(registry: DataFrame, fields: DataFrame) -> DataFrame:
             hit = hit | F.col(n)
         return F.coalesce(F.bool_or(hit), F.lit(False))
 
-    seen = field_history(registry, fields).groupBy("subject", "version").agg(
+    seen = field_history(registry, fields, width).groupBy("subject", "version").agg(
         fault("type_prev", "moved_prev", "reused_prev").alias("_prev"),
         fault("type_prev", "moved_prev", "reused_prev", "type_any", "moved_any", "reused_any").alias("_any"),
         fault("reused_prev", "reused_any").alias("number_reused"),

@@ -14,6 +14,7 @@ from tidelog.operators.ordering import assign_offsets
 from tidelog.operators.positions import bounds
 from tidelog.operators.routing import assign_partition
 from tidelog.schemas import ORDER_V1
+from tidelog.scratch import cut
 
 PARTITIONS = 3
 DEPLOY = "2024-01-16 00:00:00"
@@ -100,7 +101,7 @@ def producer_log(spark: SparkSession, sf: str) -> DataFrame:
 
     ``seq`` is the event id; a retry has the same sequence and a later offset.
     """
-    sent = events_log(spark, sf).withColumn("producer_id", F.lit("p")).withColumn("seq", F.col("event_id"))
+    sent = cut(events_log(spark, sf)).withColumn("producer_id", F.lit("p")).withColumn("seq", F.col("event_id"))
     ends = bounds(sent).select("topic", "partition", "log_end")
     again = sent.where("event_type = 'purchase'").withColumnRenamed("offset", "first_offset")
     again = assign_offsets(again, ["event_id"], unique="event_id")

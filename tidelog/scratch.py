@@ -31,11 +31,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the files.
 
-    Used where later steps must see exactly the same rows in the same places, and
-    between levels of an iterative job. The files outlive any executor.
+    Used where later steps must see exactly the same rows, where they would compute an
+    expensive input twice, and between levels of an iterative job. A written table rather
+    than a checkpoint: later passes read only the columns they need, with known sizes, and
+    the files outlive any executor.
     """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = fresh_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
