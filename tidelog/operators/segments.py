@@ -121,7 +121,7 @@ def _arrays(pdf: pd.DataFrame):
     return (*cols, int(pdf["seg_bytes"].iloc[0]), int(pdf["seg_ms"].iloc[0]))
 
 
-def _leaf(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _leaf(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     offset, size, ts, seg_bytes, seg_ms = _arrays(pdf)
     ahead, following = _rolls(size, ts, seg_bytes, seg_ms)
     n, total = len(size), int(size.sum())
@@ -148,7 +148,7 @@ def _table(row) -> _Table:
     return _Table(*cols, int(row.total), int(row.tmax))
 
 
-def _combine(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _combine(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     rows = list(pdf.sort_values("node").itertuples())
     seg_bytes, seg_ms = int(rows[0].seg_bytes), int(rows[0].seg_ms)
     whole = _table(rows[-1])
@@ -163,7 +163,7 @@ def _combine(key, pdf: pd.DataFrame) -> pd.DataFrame:
     return _row(key, whole, seg_bytes, seg_ms)
 
 
-def _hand_down(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _hand_down(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     rows = list(pdf.sort_values("node").itertuples())
     state = tuple(np.array([v], np.int64) for v in (rows[0].in_base, rows[0].in_size, rows[0].in_ts))
     out = []
@@ -173,7 +173,7 @@ def _hand_down(key, pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=_STATE.names)
 
 
-def _cut_block(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _cut_block(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     offset, size, ts, seg_bytes, seg_ms = _arrays(pdf)
     base, held, first = (int(pdf[c].iloc[0]) for c in ("in_base", "in_size", "in_ts"))
     ahead, following = _rolls(size, ts, seg_bytes, seg_ms)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import (
@@ -66,9 +64,3 @@ def progress_lag(reports: DataFrame, text: str = "value") -> DataFrame:
         "group_id", "snapshot", "topic", F.col("p").cast("int").alias("partition"), "committed",
         end.alias("log_end"), (end - F.col("committed")).alias("lag"),
     )
-
-
-def report_rows(spark: SparkSession, query) -> DataFrame:
-    """The reports a running stream still holds, for ``progress_lag``."""
-    rows = [(p if isinstance(p, str) else json.dumps(p, default=str),) for p in (q.json if hasattr(q, "json") else q for q in query.recentProgress)]
-    return spark.createDataFrame(rows, "value string")
