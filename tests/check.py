@@ -26,8 +26,7 @@ def engine(sf_dir):
 def rows(frame: pd.DataFrame):
     frame = frame[sorted(frame.columns)]
     clean = frame.astype(object).where(frame.notna(), None)
-    kinds = [str(t) for t in frame.dtypes]
-    return sorted((tuple(map(_plain, r)) for r in clean.itertuples(index=False)), key=repr), kinds
+    return sorted((tuple(map(_plain, r)) for r in clean.itertuples(index=False)), key=repr)
 
 
 def _plain(v):
@@ -40,17 +39,25 @@ def compare(spark_rows: pd.DataFrame, duck_rows: pd.DataFrame) -> str | None:
     """None when equal, else what differs."""
     if sorted(spark_rows.columns) != sorted(duck_rows.columns):
         return f"columns {sorted(spark_rows.columns)} / {sorted(duck_rows.columns)}"
-    (a, ka), (b, kb) = rows(spark_rows), rows(duck_rows)
+    a, b = rows(spark_rows), rows(duck_rows)
     if len(a) != len(b):
         return f"{len(a)} / {len(b)} rows"
     if a != b:
         bad = next((x, y) for x, y in zip(a, b) if x != y)
         return f"first difference {bad[0]} / {bad[1]}"
-    if not spark_rows.isna().any().any() and ka != kb:
-        return f"types {ka} / {kb}"
     return None
 
 
+KINDS = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
+def types_differ(spark_frame, relation) -> str | None:
+    """What differs between the column types of both engines, if anything."""
+    a = dict(spark_frame.dtypes)
+    b = {n: KINDS.get(str(t), str(t)) for n, t in zip(relation.columns, relation.types)}
+    return None if a == b else f"types {sorted(set(a.items()) ^ set(b.items()))}"
+
+
 def main():
     from pyspark.sql import SparkSession
 
@@ -70,9 +77,11 @@ def main():
             continue
         began = time.time()
         try:
-            got = fn(spark, sf).toPandas()
+            frame = fn(spark, sf)
+            got = frame.toPandas()
             took, began = time.time() - began, time.time()
-            wrong = compare(got, con.sql(oracles[name]).df()) if name in oracles else "no twin"
+            twin = con.sql(oracles[name])
+            wrong = types_differ(frame, twin) or compare(got, twin.df())
             duck = time.time() - began
         except Exception as error:  # report and go on with the next query
             took, duck, wrong, got = time.time() - began, 0, f"{type(error).__name__}: {str(error)[:600]}", []

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from check import compare, engine
+from check import compare, engine, types_differ
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,8 +15,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_twin(spark, con, name):
-    got = entry.queries()[name](spark, SF).toPandas()
-    assert compare(got, con.sql(entry.oracle_sql()[name]).df()) is None
+    frame, twin = entry.queries()[name](spark, SF), con.sql(entry.oracle_sql()[name])
+    assert types_differ(frame, twin) is None
+    assert compare(frame.toPandas(), twin.df()) is None
 
 
 def test_flagship(spark):

@@ -9,8 +9,6 @@ back. Only bounded blocks are ever sorted in one task.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -26,22 +24,6 @@ def block_id(order: str, width: int = BLOCK) -> Column:
     return F.expr(f"cast(`{order}` as bigint) div {int(width)}L")
 
 
-def same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    """Null-safe equality on several columns."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
-
-
-def attach(df: DataFrame, small: DataFrame, columns: list[str], how: str = "inner") -> DataFrame:
-    """Join ``small`` on null-safe ``columns`` and keep one copy of them.
-
-    No broadcast hint: the runtime sees the true size of ``small`` and decides.
-    """
-    renamed = small.select([F.col(c).alias(f"_j_{c}") for c in columns]
-                           + [c for c in small.columns if c not in columns])
-    on = reduce(lambda a, b: a & b, [df[c].eqNullSafe(renamed[f"_j_{c}"]) for c in columns])
-    return df.join(renamed, on, how).drop(*[f"_j_{c}" for c in columns])
-
-
 def number_rows(
     df: DataFrame,
     groups: list[str],
@@ -123,24 +105,25 @@ def before(
     """
     if top is not None and top < width:
         return _within(df, keys, order, wanted, inclusive)
-    marked = df.withColumn("_blk", block_id(order, width))
-    summary = marked.groupBy(*keys, "_blk").agg(
+    # One struct holds the group and the block: structs compare equal with nulls inside, and
+    # the join and the window below then share one shuffle.
+    marked = df.withColumn("_at", F.struct(*keys, block_id(order, width).alias("_blk")))
+    summary = marked.groupBy("_at").agg(
         *[_block_value(kind, col, order).alias(f"_b_{out}") for out, (kind, col) in wanted.items()]
     )
-    blocks = Window.partitionBy(*keys).orderBy("_blk")
+    blocks = Window.partitionBy(*[f"_at.{k}" for k in keys]).orderBy("_at._blk")
     earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
-        *keys,
-        "_blk",
+        "_at",
         *[
             (F.lag(f"_b_{out}").over(blocks) if kind == "last"
              else _over(kind, f"_b_{out}", earlier)).alias(f"_c_{out}")
             for out, (kind, _) in wanted.items()
         ],
     )
-    inside = Window.partitionBy(*keys, "_blk").orderBy(order)
+    inside = Window.partitionBy("_at").orderBy(order)
     frame = inside.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    joined = attach(marked, carry, [*keys, "_blk"])
+    joined = marked.join(carry, "_at", "left")
     for out, (kind, col) in wanted.items():
         if kind == "last":
             near = F.lag(F.struct(F.col(col).alias("v"))).over(inside)
@@ -148,7 +131,7 @@ def before(
         else:
             value = _combine(kind, _over(kind, col, frame), F.col(f"_c_{out}"))
         joined = joined.withColumn(out, value)
-    return joined.drop("_blk", *[f"_c_{out}" for out in wanted])
+    return joined.drop("_at", *[f"_c_{out}" for out in wanted])
 
 
 def _within(df, keys, order, wanted, inclusive):

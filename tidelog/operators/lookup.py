@@ -27,21 +27,19 @@ def lookup(
     table: DataFrame,
     on: list[str],
     how: str = "inner",
-    spread: str = "offset",
     rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join a log with a small table on columns that repeat heavily in the log.
 
     The table is broadcast when its row count is checked to be small. Otherwise its rows
-    are repeated once per salt and the log is salted by ``spread``, so that a topic
-    partition holding a third of the log is still shared by many tasks.
+    are repeated once per salt and the rows of the log take salts in turn, so that a topic
+    partition holding a third of the log is still shared by many tasks. Every salt finds
+    every row of the table, so the result does not depend on which salt a record got.
     ``how`` is inner, left, left_semi or left_anti with the log on the left.
     """
     small = settled(table, rows)
     if small is not None:
         return log.join(F.broadcast(small), on, how)
-    if log.isStreaming:
-        return log.join(table, on, how)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = log.withColumn("_salt", F.pmod(F.hash(F.col(spread)), F.lit(SALTS)))
+    salted = log.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     return salted.join(table.withColumn("_salt", salts), [*on, "_salt"], how).drop("_salt")

@@ -59,7 +59,7 @@ def lifecycle_breaks(
 
 def offset_gaps(df: DataFrame, width: int = BLOCK) -> DataFrame:
     """WIN-4: ranges of offsets missing inside the log."""
-    seen = before(df.select(*ADDRESS, "offset"), ADDRESS, "offset", {"_prev": ("last", "offset")}, width)
+    seen = before(df.select(*ADDRESS, "offset"), ADDRESS, "offset", {"_prev": ("max", "offset")}, width)
     return seen.where(F.col("offset") - F.col("_prev") > 1).select(
         *ADDRESS,
         (F.col("_prev") + 1).alias("gap_start"),

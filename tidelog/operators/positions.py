@@ -95,16 +95,15 @@ def seek(
 ) -> DataFrame:
     """OFF-4: new positions of all subscribed groups at start, end, an offset or a time."""
     edges = bounds(log)
-    if to == "start":
+    if isinstance(to, dt.datetime):
+        # First offset at the moment, in the same pass as the bounds.
+        first = F.min(F.when(F.col("timestamp") >= F.lit(to), F.col("offset")))
+        edges = log.groupBy(*ADDRESS).agg(F.coalesce(first, F.max("offset") + 1).alias("_at"))
+        target = F.col("_at")
+    elif to == "start":
         target = F.col("log_start")
     elif to == "end":
         target = F.col("log_end")
-    elif isinstance(to, dt.datetime):
-        at = log.where(F.col("timestamp") >= F.lit(to)).groupBy(*ADDRESS).agg(
-            F.min("offset").alias("_at")
-        )
-        edges = edges.join(at, ADDRESS, "left")
-        target = F.coalesce("_at", "log_end")
     else:
         target = F.greatest(F.least(F.lit(int(to)).cast("bigint"), F.col("log_end")), F.col("log_start"))
     return edges.join(subscriptions, "topic").select(

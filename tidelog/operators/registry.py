@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidelog.operators.blocks import before, number_rows
 from tidelog.scratch import cut
@@ -41,7 +40,7 @@ def type_change(changes: DataFrame, rules: DataFrame | None = None) -> DataFrame
     """SCH-5: whether each change from ``old_type`` to ``new_type`` is safe; unknown ones are not."""
     rules = type_rules(changes.sparkSession) if rules is None else rules
     same = F.col("old_type") == F.col("new_type")
-    joined = changes.join(F.broadcast(rules.limit(len(TYPES) ** 2)), ["old_type", "new_type"], "left")
+    joined = changes.join(rules, ["old_type", "new_type"], "left")
     return joined.withColumn("backward", same | F.coalesce("backward", F.lit(False))).withColumn(
         "forward", same | F.coalesce("forward", F.lit(False))
     )
@@ -68,13 +67,12 @@ def register(registry: DataFrame, new: DataFrame) -> DataFrame:
     )
     added = numbered.select("_mark", (F.col("_next") + top + 1).alias("_id"))
     versions = registry.groupBy("subject").agg(F.max("version").alias("_version"))
-    turn = Window.partitionBy("subject").orderBy("_id")
+    placed = number_rows(fresh.join(ids.unionByName(added), "_mark"), ["subject"], ["_id"], "_turn", unique="_id")
     rows = (
-        fresh.join(ids.unionByName(added), "_mark")
-        .join(versions, "subject", "left")
+        placed.join(versions, "subject", "left")
         .select(
             "subject",
-            (F.coalesce("_version", F.lit(0)) + F.row_number().over(turn)).cast("int").alias("version"),
+            (F.coalesce("_version", F.lit(0)) + F.col("_turn") + 1).cast("int").alias("version"),
             F.col("_id").cast("int").alias("schema_id"), "message", "descriptor",
         )
     )
