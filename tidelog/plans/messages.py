@@ -358,14 +358,11 @@ def schemas_needed(spark, sf):
     return needed.withColumn("schema_ids", F.array_join(F.col("schema_ids").cast("array<string>"), ","))
 
 
-HEADER = "partition | offset | customer        | item                      | status                  | region"
-
-
 @query(
     "report_lines",
     f"WITH {s.ORDERS}, n AS (SELECT count(*) AS c FROM typed) "
     "SELECT 1 AS section, -1 AS partition, 0::BIGINT AS \"offset\", '[reader] order v1' AS line "
-    f"UNION ALL SELECT 1, -1, 1, '{HEADER}' UNION ALL SELECT 1, -1, 2, repeat('-', 100) "
+    f"UNION ALL SELECT 1, -1, 1, '{sinks.REPORT_HEADER}' UNION ALL SELECT 1, -1, 2, repeat('-', 100) "
     "UNION ALL SELECT 2, partition, \"offset\", 'p=' || partition || '         | ' || rpad(\"offset\"::VARCHAR, 6, ' ') || ' | ' || "
     f"rpad(customer_id, 16, ' ') || '| ' || rpad(item, 26, ' ') || '| ' || rpad({s.STATUS_NAME}, 24, ' ') || '| ' || "
     "CASE WHEN region = '' THEN '(empty)' ELSE region END FROM typed "

@@ -13,6 +13,10 @@ from tidelog.schemas import TOPIC
 
 ADDRESS = ["topic", "partition"]
 
+# Head and rule of the text report.
+REPORT_HEADER = "partition | offset | customer        | item                      | status                  | region"
+REPORT_RULE = "-" * 100
+
 
 def publish(
     df: DataFrame,
@@ -73,9 +77,6 @@ def report_lines(
     )
     body = df.select(F.lit(2).alias("section"), "partition", "offset", line.alias("line"))
 
-    header = "partition | offset | customer        | item                      | status                  | region"
-    rule = "-" * 100
-
     def fixed(section: int, lines: list[str]) -> Column:
         parts = [
             F.struct(F.lit(section).alias("section"), F.lit(-1).alias("partition"),
@@ -85,7 +86,7 @@ def report_lines(
         ]
         return F.array(*parts)
 
-    frame = F.concat(fixed(1, [*preamble, header, rule]), fixed(3, [rule, *closing]))
+    frame = F.concat(fixed(1, [*preamble, REPORT_HEADER, REPORT_RULE]), fixed(3, [REPORT_RULE, *closing]))
     around = df.agg(F.count("*").alias("n")).select(F.inline(frame))
     return body.unionByName(around)
 
