@@ -93,3 +93,21 @@ def test_liveness_boundary(spark):
     beats = df.select("member_id", F.timestamp_seconds("s").alias("timestamp"))
     got = ordering.liveness_gaps(beats).collect()
     assert [r.gap_us for r in got] == [46_000_000]
+
+
+def test_numbering_of_sparse_numbers(spark):
+    ids = [(i * 7919) ** 3 % (1 << 59) for i in range(500)]
+    df = spark.createDataFrame([("t", 0, i) for i in ids], "topic string, partition int, id bigint")
+    got = number_rows(df, ["topic", "partition"], ["id"], "n", unique="id").collect()
+    assert {r.id: r.n for r in got} == {v: n for n, v in enumerate(sorted(ids))}
+
+
+def test_retries_few_many_and_without_sequence(spark, monkeypatch):
+    from tidelog.streaming import state
+
+    rows = [("p", "t", 0, i % 40, i) for i in range(100)] + [(None, "t", 0, 1, 200), (None, "t", 0, 1, 201)]
+    df = spark.createDataFrame(rows, "producer_id string, topic string, partition int, seq bigint, offset bigint")
+    want = [*range(40), 200, 201]
+    assert sorted(r.offset for r in state.dedupe_retries(df).collect()) == want
+    monkeypatch.setattr(state, "settled", lambda table: None)
+    assert sorted(r.offset for r in state.dedupe_retries(df).collect()) == want

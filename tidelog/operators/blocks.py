@@ -36,7 +36,7 @@ def number_rows(
 
     ``unique`` names a non-negative integral column that alone fixes the order and has no
     repeats in a group; numbering is then lazy: block counts, a running sum over them, and
-    a window inside each block. Any other order is placed by one range shuffle that is
+    a window inside each block. The numbers may be sparse. Any other order is placed by one range shuffle that is
     written to the shared folder, so that counting and numbering see the same placement;
     rows equal on ``order`` keep their input order and do not pile up in one task.
     """
@@ -55,7 +55,8 @@ def _starts(sizes: DataFrame, groups: list[str], part: str) -> DataFrame:
 def _number_blocks(df, groups, unique, out, width):
     marked = df.withColumn("_blk", block_id(unique, width))
     sizes = marked.groupBy(*groups, "_blk").agg(F.count("*").alias("_n"))
-    starts = _starts(sizes, groups, "_blk").drop("_n")
+    # Sparse numbers can leave as many blocks as rows, so the blocks are summed in blocks too.
+    starts = before(sizes, groups, "_blk", {"_start": ("sum", "_n")}, width).drop("_n")
     inside = Window.partitionBy(*groups, "_blk").orderBy(unique)
     return (
         # A left join, though every block is found: it adds no null checks on computed keys.

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidelog.operators.lookup import settled
 from tidelog.operators.retention import compact
 from tidelog.schemas import struct
 
@@ -17,14 +18,21 @@ SEQUENCE = ["producer_id", "topic", "partition", "seq"]
 def dedupe_retries(df: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """STR-6: one record per producer, partition and sequence.
 
-    On a bounded table the earliest copy stays, reduced map-side. On a stream the first
-    copy to arrive stays, and copies are recognised for as long as the watermark says.
+    On a bounded table the earliest copy stays. Sequences are counted without payloads, and
+    only those that occur twice are joined back, by broadcast if they are few. Records
+    without a sequence are not compared. On a stream the first copy to arrive stays, and
+    copies are recognised for as long as the watermark says.
     """
     if df.isStreaming:
         return df.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(SEQUENCE)
-    rest = [c for c in df.columns if c not in SEQUENCE]
-    first = df.groupBy(*SEQUENCE).agg(F.min_by(F.struct(*rest), "offset").alias("r"))
-    return first.select(*SEQUENCE, "r.*").select(*df.columns)
+    repeated = (
+        df.groupBy(*SEQUENCE).agg(F.min("offset").alias("_first"), F.count("*").alias("_n"))
+        .where("_n > 1").drop("_n")
+    )
+    few = settled(repeated)
+    marked = df.join(repeated if few is None else F.broadcast(few), SEQUENCE, "left")
+    only = F.col("_first").isNull() | (F.col("offset") == F.col("_first"))
+    return marked.where(only).select(*df.columns)
 
 
 def write_changes(path: str):
