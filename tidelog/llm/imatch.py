@@ -13,7 +13,7 @@ from tidelog.llm.common import block_of, quantiles, table
 LOW, HIGH = 0.001, 0.2
 # Bits of the lexicon's filter; a term outside the band passes with the chance of a set bit.
 BITS = 1 << 22
-SUBSETS, COARSEST, SCALES = 24, 2, 8
+SUBSETS, COARSEST, SCALES = 18, 4, 6
 BLOCK_ROWS, BLOCKS = 2_000, 4_096
 EMPTY = "-"
 
@@ -53,22 +53,27 @@ def fingerprint(text: Column, known: Column, bits: int = BITS) -> Column:
         word = F.get(known, F.shiftright(slot, 6).cast("int"))
         return word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))) != 0
 
-    every = F.array_sort(terms(text))
-    inside = F.filter(every, member)
-    used = F.when(F.size(inside) > 0, inside).when(F.size(every) > 0, every).otherwise(F.array(F.xxhash64(text)))
+    def choose(every: Column) -> Column:
+        return _with(
+            F.filter(every, member),
+            lambda inside: F.when(F.size(inside) > 0, inside).when(F.size(every) > 0, every).otherwise(F.array(F.xxhash64(text))),
+        )
 
-    # The terms are computed once, as the argument of a one-element transform.
-    return _with(used, lambda u: F.array(*_hashes(u, SUBSETS)))
+    # A value that is used twice is the argument of a one-element transform: computed once.
+    return _with(_with(F.sort_array(terms(text)), choose), _hashes)
 
 
-def _kept(used: Column, i: int) -> Column:
-    mask = (1 << (COARSEST + i % SCALES)) - 1
-    return F.filter(used, lambda t: F.xxhash64(t, F.lit(i)).bitwiseAND(F.lit(mask).cast("long")) == 0)
+def _hashes(used: Column) -> Column:
+    """All subsets' hashes; a text too short for any subset has those of all its terms."""
+    whole = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda i: F.xxhash64(used, i))
+    found = F.array(*[_hash(used, i) for i in range(SUBSETS)])
+    return _with(found, lambda h: F.when(F.exists(h, lambda x: x.isNotNull()), h).otherwise(whole))
 
 
-def _hashes(used: Column, subsets: int) -> list[Column]:
-    kept = [_kept(used, i) for i in range(subsets)]
-    return [F.when(F.size(k) > 0, F.xxhash64(k, F.lit(i))) for i, k in enumerate(kept)]
+def _hash(used: Column, i: int) -> Column:
+    mask = (1 << (COARSEST + i % SCALES)) - 1
+    kept = F.filter(used, lambda t: F.xxhash64(t, F.lit(i)).bitwiseAND(F.lit(mask).cast("long")) == 0)
+    return _with(kept, lambda k: F.when(F.size(k) > 0, F.xxhash64(k, F.lit(i))))
 
 
 def _with(value: Column, body) -> Column:
