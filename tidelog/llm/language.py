@@ -35,7 +35,7 @@ class Table:
     def __init__(self, keys: list[str], lang: np.ndarray, count: np.ndarray, langs: int):
         self.at: dict[str, int] = {}
         rows = np.fromiter((self.at.setdefault(k, len(self.at)) for k in keys), np.int64, len(keys))
-        self.counts = np.bincount(rows * langs + lang, count, len(self.at) * langs).reshape(-1, langs)
+        self.counts = np.bincount(rows * langs + lang, count, len(self.at) * langs).reshape(len(self.at), langs)
         self.scores = np.log((self.counts + SMOOTH) / (self.counts.sum(axis=0) + SMOOTH * (len(self.at) + 1)))
 
 

@@ -291,9 +291,10 @@ def scan(docs: DataFrame, model: Tagger, keep: list[str] | None = None) -> DataF
 
     kind = packed.schema["kept"].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return packed.mapInArrow(run, f"kept {kind}, {counts}, base_sha256 string, spans string, masked string")
+    found = packed.mapInArrow(run, f"kept {kind}, {counts}, base_sha256 string, spans string, masked string")
+    return found.select("kept.*", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "masked")
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return scan(docs, train(docs)).select("kept.doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans")
+    return scan(docs, train(docs)).select("doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans")
