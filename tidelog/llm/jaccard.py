@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -35,6 +36,8 @@ BLOCK_SHINGLES = 1_500_000
 MU = 0.01
 # Postings up to which lists are merged on a heap; longer ones are merged by one sort.
 HEAP = 512
+# Differences from which parts with a single shingle are left out: with fewer, parts are too few to spare them.
+FEW = 64
 NO_ID = -(1 << 63)
 
 
@@ -48,7 +51,7 @@ class Levels:
     """Size classes ``low..high``; linked sets are in one class or in neighbouring ones."""
 
     def __init__(self, percent: int):
-        self.percent, self.low, self.parts, self.spare = percent, [1], [], []
+        self.percent, self.low, self.parts, self.spare, self.need = percent, [1], [], [], []
         self._extend(1)
 
     def high(self, size: int) -> int:
@@ -59,10 +62,18 @@ class Levels:
         while self.low[-1] <= size:
             high = self.high(self.low[-1])
             most = 2 * high * (100 - self.percent) // (100 + self.percent)
-            # Parts beyond those that differences can spoil: so many may be left out as empty.
-            spare = 1 + most.bit_length() // 2 if most else 0
+            # Parts beyond those that differences can spoil: so many may be left out as weak.
+            need, spare = 1, 1 + most.bit_length() // 2 if most else 0
+            if most >= FEW:
+                # One shingle alone may be a common phrase; expect so many parts with fewer than two.
+                need = 2
+                for _ in range(20):
+                    mean = self.low[-1] / (most + 1 + spare)
+                    weak = (most + 1 + spare) * math.exp(-mean) * (1 + mean)
+                    spare = math.ceil(weak + 4 * math.sqrt(weak))
             self.parts.append(most + 1 + spare)
             self.spare.append(spare)
+            self.need.append(need)
             self.low.append(high + 1)
 
     def of(self, size: int) -> list[int]:
@@ -72,10 +83,10 @@ class Levels:
         return [own, own + 1] if self.high(size) >= self.low[own + 1] else [own]
 
     def signatures(self, shingles: np.ndarray) -> np.ndarray:
-        """One hash for the content of each part that is not empty.
+        """One hash for the content of each part that is not weak, that is, holds enough.
 
-        Linked sets agree on more than ``spare`` parts, so on one that is not empty unless
-        ``spare`` + 1 parts are; a set with that many empty parts gives those as well.
+        Linked sets agree on more than ``spare`` parts, so on one that is not weak unless
+        more than ``spare`` are; a set with that many weak parts gives those as well.
         """
         mixed = mix(shingles)
         upper = shingles >> np.uint64(32)
@@ -84,11 +95,13 @@ class Levels:
             parts = self.parts[level]
             part = (upper * np.uint64(parts)) >> np.uint64(32)
             starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-            content = np.add.reduceat(mixed, starts)
+            strong = np.diff(np.append(starts, len(part))) >= self.need[level]
             seed = np.uint64(level << 32)
-            out.append(mix(content ^ mix(part[starts] + seed)))
-            if parts - len(starts) > self.spare[level]:
-                out.append(mix(np.setdiff1d(np.arange(parts, dtype=np.uint64), part[starts]) + seed))
+            found = mix(np.add.reduceat(mixed, starts) ^ mix(part[starts] + seed))
+            if parts - int(strong.sum()) > self.spare[level]:
+                out += [found, mix(np.setdiff1d(np.arange(parts, dtype=np.uint64), part[starts]) + seed)]
+            else:
+                out.append(found[strong])
         return np.concatenate(out)
 
 
