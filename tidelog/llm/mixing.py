@@ -13,7 +13,7 @@ WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 EPOCHS = 2
 # Rows of a source, or of the queue, that one task puts in order.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 
 SQL = r"""
 WITH sized AS (
