@@ -36,8 +36,6 @@ BLOCK_SHINGLES = 1_500_000
 MU = 0.01
 # Postings up to which lists are merged on a heap; longer ones are merged by one sort.
 HEAP = 512
-# Differences from which parts with a single shingle are left out: with fewer, parts are too few to spare them.
-FEW = 64
 NO_ID = -(1 << 63)
 
 
@@ -62,20 +60,31 @@ class Levels:
         while self.low[-1] <= size:
             high = self.high(self.low[-1])
             most = 2 * high * (100 - self.percent) // (100 + self.percent)
-            # Parts beyond those that differences can spoil: so many may be left out as weak.
-            need, spare = 1, 1 + most.bit_length() // 2 if most else 0
-            if most >= FEW:
-                # One shingle alone may be a common phrase; expect so many parts with fewer than two.
-                need = 2
-                for _ in range(20):
-                    mean = self.low[-1] / (most + 1 + spare)
-                    weak = (most + 1 + spare) * math.exp(-mean) * (1 + mean)
-                    spare = math.ceil(weak + 4 * math.sqrt(weak))
+            need, spare = self._spare(self.low[-1], most)
             self.parts.append(most + 1 + spare)
             self.spare.append(spare)
             self.need.append(need)
             self.low.append(high + 1)
 
+    @staticmethod
+    def _spare(size: int, most: int) -> tuple[int, int]:
+        """How much a part must hold, and how many parts may be left out as holding less.
+
+        Two shingles are asked for where a set of this size rarely has more parts with less
+        than can be added, else one: a single shingle may be a common phrase.
+        """
+        for need in (2, 1):
+            spare = 1
+            for _ in range(20):
+                mean = size / (most + 1 + spare)
+                weak = (most + 1 + spare) * math.exp(-mean) * (1 + mean * (need - 1))
+                spare = math.ceil(weak + 4 * math.sqrt(weak))
+                if spare > most / 3:
+                    break
+            else:
+                return need, spare
+        return 1, 1 + most.bit_length() // 2 if most else 0
+
     def of(self, size: int) -> list[int]:
         """The classes in which a set of this size may meet a partner."""
         self._extend(self.high(size))
