@@ -37,6 +37,10 @@ MU = 0.01
 # Postings up to which lists are merged on a heap; longer ones are merged by one sort.
 HEAP = 512
 NO_ID = -(1 << 63)
+# Levels are kept with the number of hashes to share, which is below this.
+MOST = 1 << 20
+# Rounds in which sets that share too few hashes leave.
+ROUNDS = 2
 
 
 def _node(shingles: np.ndarray) -> tuple[int, int]:
@@ -91,15 +95,17 @@ class Levels:
         own = int(np.searchsorted(self.low, size, "right")) - 1
         return [own, own + 1] if self.high(size) >= self.low[own + 1] else [own]
 
-    def signatures(self, shingles: np.ndarray) -> np.ndarray:
+    def signatures(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One hash for the content of each part that is not weak, that is, holds enough.
 
         Linked sets agree on more than ``spare`` parts, so on one that is not weak unless
-        more than ``spare`` are; a set with that many weak parts gives those as well.
+        more than ``spare`` are; a set with that many weak parts gives those as well. With
+        each hash goes its level and how many hashes of that level a set must share with
+        others to be linked at all: all agreeing parts but the weak ones.
         """
         mixed = mix(shingles)
         upper = shingles >> np.uint64(32)
-        out = []
+        out, tags = [], []
         for level in self.of(len(shingles)):
             parts = self.parts[level]
             part = (upper * np.uint64(parts)) >> np.uint64(32)
@@ -107,11 +113,15 @@ class Levels:
             strong = np.diff(np.append(starts, len(part))) >= self.need[level]
             seed = np.uint64(level << 32)
             found = mix(np.add.reduceat(mixed, starts) ^ mix(part[starts] + seed))
-            if parts - int(strong.sum()) > self.spare[level]:
-                out += [found, mix(np.setdiff1d(np.arange(parts, dtype=np.uint64), part[starts]) + seed)]
+            weak = parts - int(strong.sum())
+            if weak > self.spare[level]:
+                found = np.append(found, mix(np.setdiff1d(np.arange(parts, dtype=np.uint64), part[starts]) + seed))
+                least = 1
             else:
-                out.append(found[strong])
-        return np.concatenate(out)
+                found, least = found[strong], self.spare[level] - weak + 1
+            out.append(found)
+            tags.append(np.full(len(found), level * MOST + min(least, MOST - 1), np.int32))
+        return np.concatenate(out), np.concatenate(tags)
 
 
 def sets(docs: DataFrame, words: int) -> DataFrame:
@@ -132,34 +142,46 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def meetings(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Edges ``u, v`` between sets that agree on a part; equal sets count once a task."""
+    """Edges ``u, v`` between sets that agree on a part; equal sets count once a task.
+
+    A set that shares fewer hashes with others than a link takes has no link, and leaves.
+    """
 
     def run(batches):
         levels, seen = Levels(percent), set()
         for batch in batches:
-            held, names, count = [], [], 0
+            held, count = [], 0
             for found in shingle_sets(batch.column("text"), words):
                 if not len(found) or (name := _node(found)[0]) in seen:
                     continue
                 seen.add(name)
-                held.append(levels.signatures(found))
-                names.append(np.full(len(held[-1]), name, np.int64))
-                count += len(held[-1])
+                hashes, tags = levels.signatures(found)
+                held.append((hashes.view(np.int64), np.full(len(hashes), name, np.int64), tags))
+                count += len(hashes)
                 if count > 200_000:
-                    yield _pairs(held, names)
-                    held, names, count = [], [], 0
+                    yield _marks(held)
+                    held, count = [], 0
             if held:
-                yield _pairs(held, names)
+                yield _marks(held)
 
-    marks = docs.select("text").mapInArrow(run, "sig long, node long")
+    marks = docs.select("text").mapInArrow(run, "sig long, node long, tag int")
+    shared = cut(_shared(marks).distinct())
+    for _ in range(ROUNDS):
+        enough = shared.groupBy("node", "tag").count().filter(F.col("count") >= F.col("tag") % MOST).select("node", "tag")
+        shared = cut(_shared(shared.join(enough, ["node", "tag"])))
     order = Window.partitionBy("sig").orderBy("node")
-    return marks.withColumn("u", F.first("node").over(order)).filter("u <> node").select("u", F.col("node").alias("v")).distinct()
+    return shared.withColumn("u", F.first("node").over(order)).filter("u <> node").select("u", F.col("node").alias("v")).distinct()
+
+
+def _shared(marks: DataFrame) -> DataFrame:
+    """The hashes that more than one set has."""
+    same = Window.partitionBy("sig")
+    both = marks.select("*", F.min("node").over(same).alias("lo"), F.max("node").over(same).alias("hi"))
+    return both.filter("lo <> hi").select("sig", "node", "tag")
 
 
-def _pairs(held: list[np.ndarray], names: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({
-        "sig": pa.array(np.concatenate(held).view(np.int64)), "node": pa.array(np.concatenate(names)),
-    })
+def _marks(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], ["sig", "node", "tag"])
 
 
 def _merge(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
