@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tidelog.operators.lookup import lookup
 from tidelog.operators.positions import bounds
+from tidelog.operators.settings import settings
 
 ADDRESS = ["topic", "partition"]
 
@@ -154,7 +155,7 @@ def effective_retention(log: DataFrame, config: DataFrame) -> DataFrame:
     """AGG-14: fill rate, time until a segment rolls, longest life of a record, per partition.
 
     A roll comes at the segment size or the segment age, whichever is first; a setting
-    that is null does not apply.
+    that is null or -1 does not apply, and a topic without settings has the broker's.
     """
     at = F.unix_millis("timestamp")
     filled = log.groupBy(*ADDRESS).agg(
@@ -163,7 +164,8 @@ def effective_retention(log: DataFrame, config: DataFrame) -> DataFrame:
     )
     by_size = F.when(F.col("n_bytes") > 0, F.col("segment_bytes") * F.col("span_ms") / F.col("n_bytes"))
     to_roll = F.least(by_size, F.col("segment_ms").cast("double"))
-    return filled.join(config.select("topic", "retention_ms", "segment_bytes", "segment_ms"), "topic").select(
+    limits = settings(filled, config, ["retention_ms", "segment_bytes", "segment_ms"])
+    return filled.join(limits, "topic").select(
         *ADDRESS, "n_bytes", "span_ms",
         F.ceil(to_roll).alias("roll_ms"),
         (F.ceil(to_roll) + F.col("retention_ms")).alias("longest_life_ms"),

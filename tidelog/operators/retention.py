@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from tidelog.operators.lookup import lookup
 from tidelog.operators.positions import bounds
 from tidelog.operators.segments import segment_table
+from tidelog.operators.settings import settings
 
 ADDRESS = ["topic", "partition"]
 
@@ -19,7 +20,7 @@ def judged(table: DataFrame, config: DataFrame, now_ms: int) -> DataFrame:
     Works on the segment table only. A limit that is null keeps everything. ``keep``
     applies both rules, oldest first, so that what is left is one unbroken range.
     """
-    limits = config.select("topic", "retention_ms", "retention_bytes")
+    limits = settings(table, config, ["retention_ms", "retention_bytes"])
     newest_first = Window.partitionBy(*ADDRESS).orderBy(F.desc("segment_base")).rowsBetween(
         Window.unboundedPreceding, 0
     )
@@ -104,7 +105,7 @@ def compact(
 
 def clean(log: DataFrame, config: DataFrame, now_ms: int, delete_retention_ms: int = 86_400_000) -> DataFrame:
     """RET-9: each topic cleaned by its own policy: delete, compact, or both."""
-    policy = config.select("topic", "cleanup_policy")
+    policy = settings(log, config, ["cleanup_policy"])
     table = segment_table(log, config, now_ms)
     segs = judged(table, config, now_ms)
     deletes = F.col("cleanup_policy").contains("delete")

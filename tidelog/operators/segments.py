@@ -29,6 +29,7 @@ from pyspark.sql.window import Window
 from tidelog.operators.blocks import before, block_id
 from tidelog.operators.lookup import lookup
 from tidelog.schemas import struct
+from tidelog.operators.settings import settings
 from tidelog.scratch import cut
 
 ADDRESS = ["topic", "partition"]
@@ -211,9 +212,9 @@ def segment_table(
 ) -> DataFrame:
     """One row per segment: ids, offsets, bytes, times, and whether it is still open at ``now_ms``.
 
-    A setting that is null never triggers a roll. Record size is the size of the value.
+    A setting that is null or -1 never triggers a roll; a topic without settings has the broker's. Record size is the size of the value.
     """
-    limits = config.select(
+    limits = settings(log, config, ["segment_bytes", "segment_ms"]).select(
         "topic",
         F.coalesce("segment_bytes", F.lit(NO_LIMIT)).cast("bigint").alias("seg_bytes"),
         F.coalesce("segment_ms", F.lit(NO_LIMIT)).cast("bigint").alias("seg_ms"),

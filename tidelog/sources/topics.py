@@ -96,13 +96,19 @@ def offset_for_time(df: DataFrame, moment: dt.datetime | str) -> DataFrame:
 def read_tiered(hot: DataFrame, cold: DataFrame) -> DataFrame:
     """SRC-6: archive and live log as one log.
 
-    The live log is one unbroken range per partition, so what the archive adds is
-    everything below the live start (or past its end): a filter on two numbers per
-    partition instead of a join of two logs on the record address.
+    Where the live log is one unbroken range, the archive adds what lies outside it: a
+    filter on two numbers per partition. Only partitions with holes, as compaction leaves
+    them, are compared address by address.
     """
-    edges = hot.groupBy(*ADDRESS).agg(F.min("offset").alias("_lo"), F.max("offset").alias("_hi"))
+    edges = hot.groupBy(*ADDRESS).agg(
+        F.min("offset").alias("_lo"), F.max("offset").alias("_hi"), F.count("*").alias("_n")
+    )
     outside = F.col("_lo").isNull() | (F.col("offset") < F.col("_lo")) | (F.col("offset") > F.col("_hi"))
-    only_cold = lookup(cold, edges, ADDRESS, "left").where(outside).drop("_lo", "_hi")
+    holes = F.col("_n") < F.col("_hi") - F.col("_lo") + 1
+    placed = lookup(cold, edges, ADDRESS, "left")
+    held = lookup(hot.select(*ADDRESS, "offset"), edges.where(holes).select(*ADDRESS), ADDRESS, "left_semi")
+    between = placed.where(~outside & holes).join(held, [*ADDRESS, "offset"], "left_anti")
+    only_cold = placed.where(outside).unionByName(between).drop("_lo", "_hi", "_n")
     return hot.unionByName(only_cold)
 
 
