@@ -164,3 +164,12 @@ def test_against_protobuf():
     assert set(error) == {None} and not mismatch.any()
     for f, got in zip(fields, out):
         assert [int(v) if f.type == "uint64" else v for v in got.to_pylist()] == [x[f.name] for x in rows]
+
+
+def test_envelope_with_high_message_index(spark):
+    from tidelog.functions.wire import split_envelope
+
+    lead = b"\x00\x00\x00\x00\x05"
+    rows = [(lead + index + b"\x0a\x01a", n) for n, index in ((0, b"\x00"), (63, b"\x02\x7e"), (64, b"\x02\x80\x01"), (10_000, b"\x02\xa0\x9c\x01"))]
+    got = split_envelope(spark.createDataFrame(rows, "value binary, n int")).collect()
+    assert all(r["message_index"] == r["n"] and bytes(r["payload"]) == b"\x0a\x01a" and r["schema_id"] == 5 for r in got)

@@ -18,15 +18,22 @@ def split_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     """PRJ-1: magic byte, schema id, message index and payload of an enveloped value.
 
     The index list is one byte ``00`` for the first message of a file, else a count and
-    that many numbers, each zigzag coded in one byte.
+    that many numbers, all zigzag varints. One index of up to three bytes is read (more
+    messages than any file has); in a list of several, as nested messages have, each is
+    taken to be one byte.
     """
-    lead = f"coalesce({_number(f'substring({value}, 6, 1)')}, 0)"
+    def byte(at: int) -> str:
+        return f"coalesce({_number(f'substring({value}, {at}, 1)')}, 0)"
+
+    lead, one, two, three = byte(6), byte(7), byte(8), byte(9)
+    width = f"if({one} < 128, 1, if({two} < 128, 2, 3))"
+    raw = f"({one} % 128 + if({one} < 128, 0, {two} % 128 * 128 + if({two} < 128, 0, {three} % 128 * 16384)))"
     return df.selectExpr(
         "*",
         f"cast({_number(f'substring({value}, 1, 1)')} as int) as magic",
         f"cast({_number(f'substring({value}, 2, 4)')} as int) as schema_id",
-        f"cast(if({lead} = 0, 0, {_number(f'substring({value}, 7, 1)')} div 2) as int) as message_index",
-        f"substring({value}, cast(7 + {lead} div 2 as int)) as payload",
+        f"cast(if({lead} = 0, 0, {raw} div 2) as int) as message_index",
+        f"substring({value}, cast(7 + if({lead} = 2, {width}, {lead} div 2) as int)) as payload",
     )
 
 
