@@ -70,6 +70,7 @@ def test_lookup_salted_equals_broadcast(log, spark):
     for how in ("inner", "left", "left_semi", "left_anti"):
         a = lookup(log, table, ["topic", "partition"], how)
         b = lookup(log, table, ["topic", "partition"], how, rows=1)
+        assert "monotonically" not in b._jdf.queryExecution().toString()
         assert sorted(map(str, a.collect())) == sorted(map(str, b.select(a.columns).collect()))
 
 
@@ -111,3 +112,40 @@ def test_retries_few_many_and_without_sequence(spark, monkeypatch):
     assert sorted(r.offset for r in state.dedupe_retries(df).collect()) == want
     monkeypatch.setattr(state, "settled", lambda table: None)
     assert sorted(r.offset for r in state.dedupe_retries(df).collect()) == want
+
+
+def test_null_groups_are_numbered(spark):
+    df = spark.createDataFrame([(g, n) for n, g in enumerate([None, "a", None, "b", None])], "g string, n long")
+    want = {0: 0, 1: 0, 2: 1, 3: 0, 4: 2}
+    for unique in ("n", None):
+        rows = number_rows(df, ["g"], ["n"], "at", unique=unique, width=2).collect()
+        assert {r.n: r.at for r in rows} == want
+
+
+def test_salted_lookup_with_nulls_and_light_keys(spark, monkeypatch):
+    from tidelog.operators import lookup as module
+
+    monkeypatch.setattr(module, "SHARE", 3)
+    log = spark.createDataFrame([("hot" if n < 30 else None if n < 40 else f"k{n}", n) for n in range(60)], "k string, n long")
+    table = spark.createDataFrame([("hot", 1), ("k45", 2), (None, 3), ("k99", 4)], "k string, v int")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        a, b = lookup(log, table, ["k"], how), lookup(log, table, ["k"], how, rows=1)
+        assert a.columns == b.columns and sorted(a.collect(), key=str) == sorted(b.collect(), key=str)
+
+
+def test_range_reaches_the_scan(spark):
+    from tidelog.scratch import fresh_path
+    from tidelog.sources.topics import drain, read_range
+
+    rows = spark.range(4000).selectExpr("'t' topic", "cast(id % 4 as int) partition", "id div 4 offset", "id v")
+    path = fresh_path(spark, "landed")
+    rows.write.partitionBy("topic", "partition").parquet(path)
+    log = spark.read.parquet(path)
+    ranges = spark.createDataFrame([("t", 1, 10, 14)], "topic string, partition int, from_offset long, to_offset long")
+    found = read_range(log, ranges)
+    assert sorted((r.partition, r.offset) for r in found.collect()) == [(1, n) for n in range(10, 14)]
+    plan = found._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(offset,10)" in plan and "LessThan(offset,14)" in plan and "partition#" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    ends = spark.createDataFrame([("t", 0, 3), ("t", 2, 1)], "topic string, partition int, log_end long")
+    assert sorted((r.partition, r.offset) for r in drain(log, ends).collect()) == [(0, 0), (0, 1), (0, 2), (2, 0)]
+    assert drain(log, ends.limit(0)).count() == 0

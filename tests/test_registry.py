@@ -109,7 +109,12 @@ def test_registration(spark):
     assert {(r.subject, r.schema_id) for r in reg.latest(again).collect()} == {("order-value", 3), ("pay-value", 2), ("copy-value", 1)}
     assert {r.subject for r in reg.by_id(again, 1).collect()} == {"order-value", "copy-value"}
     dropped = reg.drop_version(again, "order-value", 1)
-    assert reg.subjects(dropped).count() == 3 and dropped.count() == 3
+    assert reg.subjects(dropped).count() == 3 and reg.live(dropped).count() == 3
+    # Neither an id nor a version number comes back; a known schema keeps its id.
+    gone = reg.drop_version(dropped, "order-value", 2)
+    assert {r.subject for r in reg.subjects(gone).collect()} == {"copy-value", "pay-value"}
+    more = reg.register(gone, new(("order-value", "Order", b"v2"), ("order-value", "Order", b"v3")))
+    assert state(reg.live(more)) - state(reg.live(gone)) == {("order-value", 3, 3, b"v2"), ("order-value", 4, 4, b"v3")}
     modes = spark.createDataFrame([("a", "FULL"), ("b", None)], "subject string, mode string")
     assert [r.mode for r in reg.modes(modes).orderBy("subject").collect()] == ["FULL", "BACKWARD"]
     assert [r.mode for r in reg.modes(modes, "NONE").orderBy("subject").collect()] == ["FULL", "NONE"]

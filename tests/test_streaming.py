@@ -151,3 +151,15 @@ def test_listener_keeps_reports(spark, landed):
     finally:
         spark.streams.removeListener(listener)
     assert progress.progress_lag(spark.read.text(f"{place}/reports")).columns[:3] == ["group_id", "snapshot", "topic"]
+
+
+def test_late_record_does_not_undo_a_tombstone(spark):
+    place = fresh_path(spark, "late")
+    for offset, value in ((5, b"a"), (100, None), (50, b"b")):
+        row = spark.createDataFrame([("t", 0, offset, b"k", value)], "topic string, partition int, offset long, key binary, value binary")
+        row.selectExpr("topic", "partition", "offset", "timestamp'2024-01-01' timestamp", "key", "value").write.mode("append").parquet(f"{place}/changes")
+        changes = spark.readStream.schema(TOPIC).parquet(f"{place}/changes")
+        state.current_state(changes).writeStream.outputMode("update").foreachBatch(
+            lambda b, i: b.write.mode("append").parquet(f"{place}/out")
+        ).option("checkpointLocation", f"{place}/position").trigger(availableNow=True).start().awaitTermination()
+    assert state.state_table(spark.read.parquet(f"{place}/out")).count() == 0

@@ -173,3 +173,22 @@ def test_envelope_with_high_message_index(spark):
     rows = [(lead + index + b"\x0a\x01a", n) for n, index in ((0, b"\x00"), (63, b"\x02\x7e"), (64, b"\x02\x80\x01"), (10_000, b"\x02\xa0\x9c\x01"))]
     got = split_envelope(spark.createDataFrame(rows, "value binary, n int")).collect()
     assert all(r["message_index"] == r["n"] and bytes(r["payload"]) == b"\x0a\x01a" and r["schema_id"] == 5 for r in got)
+
+
+def test_envelope_with_nested_index_of_several_bytes(spark):
+    got = wire.split_envelope(values(spark, "0000000007" + "04" + "8001" + "02" + "0a0161")).first()
+    assert (got.schema_id, got.message_index, bytes(got.payload).hex()) == (7, 64, "0a0161")
+    assert wire.split_envelope(values(spark, "0000000007" + "06" + "80")).first().payload is None
+
+
+def test_size_of_negative_zero_and_high_numbers(spark):
+    fields = [Field(300_000, "a", "int32"), Field(1, "b", "double"), Field(2, "c", "float"), Field(3, "d", "uint64")]
+    df = spark.createDataFrame(
+        [(1, 0.0, 0.0, Decimal(0)), (0, -0.0, 1.0, Decimal(2**64 - 1)), (0, 0.0, -0.0, None), (0, float("nan"), 0.0, Decimal(2**63))],
+        "a int, b double, c float, d decimal(20,0)",
+    )
+    sized = df.withColumn("n", wire.encoded_size(fields[:3]))
+    coded = encode_topic(sized.drop("d"), fields[:3]).select("n", F.octet_length("payload").alias("m")).collect()
+    assert [(r.n, r.m) for r in coded] == [(5, 5), (14, 14), (5, 5), (9, 9)]
+    big = encode_topic(df.select("d"), fields[3:]).select(F.hex("payload").alias("x")).collect()
+    assert [r.x for r in big] == ["", "18" + "FF" * 9 + "01", "", "18" + "80" * 9 + "01"]

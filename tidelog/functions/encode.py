@@ -81,9 +81,7 @@ def _pieces(f: Field, column: pa.Array) -> list:
         value = _plain(column, pa.float64()).astype(f"<f{size}")
         raw = value.view(np.uint8).reshape(len(value), size)
         return [_tagged(tag, _Fixed(raw, np.full(len(value), size)), raw.any(axis=1))]
-    value = _plain(column, pa.int64()) if f.type != "uint64" else np.array(
-        [int(v or 0) for v in column.to_pylist()], np.uint64
-    ).view(np.int64)
+    value = _plain(column, pa.uint64()).view(np.int64) if f.type == "uint64" else _plain(column, pa.int64())
     given = value != 0
     if f.type in ("sint32", "sint64"):
         value = (value << 1) ^ (value >> 63)

@@ -19,8 +19,8 @@ def split_envelope(df: DataFrame, value: str = "value") -> DataFrame:
 
     The index list is one byte ``00`` for the first message of a file, else a count and
     that many numbers, all zigzag varints. One index of up to three bytes is read (more
-    messages than any file has); in a list of several, as nested messages have, each is
-    taken to be one byte.
+    messages than any file has); of several, as nested messages have, the first is given.
+    A list that is cut off has no payload.
     """
     def byte(at: int) -> str:
         return f"coalesce({_number(f'substring({value}, {at}, 1)')}, 0)"
@@ -28,12 +28,16 @@ def split_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     lead, one, two, three = byte(6), byte(7), byte(8), byte(9)
     width = f"if({one} < 128, 1, if({two} < 128, 2, 3))"
     raw = f"({one} % 128 + if({one} < 128, 0, {two} % 128 * 128 + if({two} < 128, 0, {three} % 128 * 16384)))"
+    # The bytes of as many varints as the list has numbers, each of five bytes at most.
+    several = f"concat('^(?:(?:[89A-F][0-9A-F]){{0,4}}[0-7][0-9A-F]){{', {lead} div 2, '}}')"
+    header = f"regexp_extract(hex(substring({value}, 7, 5 * ({lead} div 2))), {several}, 0)"
+    width = f"if({lead} = 2, {width}, if({lead} < 2, 0, nullif(length({header}) div 2, 0)))"
     return df.selectExpr(
         "*",
         f"cast({_number(f'substring({value}, 1, 1)')} as int) as magic",
         f"cast({_number(f'substring({value}, 2, 4)')} as int) as schema_id",
         f"cast(if({lead} = 0, 0, {raw} div 2) as int) as message_index",
-        f"substring({value}, cast(7 + if({lead} = 2, {width}, {lead} div 2) as int)) as payload",
+        f"substring({value}, cast(7 + {width} as int)) as payload",
     )
 
 
@@ -90,6 +94,9 @@ def _is_set(f: Field, col: Column) -> Column:
         return col.isNotNull()
     if f.type == "bool":
         return col
+    if f.type in ("float", "double"):
+        # Only the bits of +0.0 are the default; -0.0 is written.
+        return (col != F.lit(0)) | (col.cast("string") == "-0.0")
     return col != F.lit(0)
 
 
@@ -98,7 +105,7 @@ def _tag(f: Field) -> int:
 
 
 def _tag_length(f: Field) -> int:
-    return 1 if _tag(f) < 128 else 2 if _tag(f) < 16384 else 3
+    return -(-_tag(f).bit_length() // 7)
 
 
 def _clock(col: Column) -> tuple[Column, Column]:

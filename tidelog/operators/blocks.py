@@ -53,21 +53,23 @@ def _starts(sizes: DataFrame, groups: list[str], part: str) -> DataFrame:
 
 
 def _number_blocks(df, groups, unique, out, width):
-    marked = df.withColumn("_blk", block_id(unique, width))
-    sizes = marked.groupBy(*groups, "_blk").agg(F.count("*").alias("_n"))
+    # A struct compares equal with nulls inside, so a null group is a group like any other.
+    marked = df.withColumn("_spot", F.struct(*groups, block_id(unique, width).alias("_blk")))
+    sizes = marked.groupBy("_spot").agg(F.count("*").alias("_n")).select("_spot", "_spot.*", "_n")
     # Sparse numbers can leave as many blocks as rows, so the blocks are summed in blocks too.
-    starts = before(sizes, groups, "_blk", {"_start": ("sum", "_n")}, width).drop("_n")
-    inside = Window.partitionBy(*groups, "_blk").orderBy(unique)
+    starts = before(sizes, groups, "_blk", {"_start": ("sum", "_n")}, width).select("_spot", "_start")
+    inside = Window.partitionBy("_spot").orderBy(unique)
     return (
         # A left join, though every block is found: it adds no null checks on computed keys.
-        marked.join(starts, [*groups, "_blk"], "left")
+        marked.join(starts, "_spot", "left")
         .withColumn(out, F.row_number().over(inside) - 1 + F.col("_start"))
-        .drop("_blk", "_start")
+        .drop("_spot", "_start")
     )
 
 
 def _number_ranges(df, groups, order, out):
-    seen = df.withColumn("_seen", F.monotonically_increasing_id())
+    # Written before it is shuffled on: a task that runs again would number rows otherwise.
+    seen = cut(df.withColumn("_seen", F.monotonically_increasing_id()))
     by = [*groups, *order, "_seen"]
     placed = cut(
         seen.repartitionByRange(*by)
@@ -76,14 +78,13 @@ def _number_ranges(df, groups, order, out):
         .withColumn("_blk", F.shiftright("_at", 33))
         .drop("_seen")
     )
-    sizes = placed.groupBy(*groups, "_blk").agg(
-        F.count("*").alias("_n"), F.min("_at").alias("_first")
-    )
-    starts = _starts(sizes, groups, "_blk").drop("_n")
+    placed = placed.withColumn("_spot", F.struct(*groups, "_blk"))
+    sizes = placed.groupBy("_spot").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    starts = _starts(sizes.select("_spot", "_spot.*", "_n", "_first"), groups, "_blk").select("_spot", "_start", "_first")
     return (
-        placed.join(starts, [*groups, "_blk"])
+        placed.join(starts, "_spot")
         .withColumn(out, F.col("_start") + F.col("_at") - F.col("_first"))
-        .drop("_blk", "_at", "_start", "_first")
+        .drop("_spot", "_blk", "_at", "_start", "_first")
     )
 
 

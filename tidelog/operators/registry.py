@@ -46,17 +46,25 @@ def type_change(changes: DataFrame, rules: DataFrame | None = None) -> DataFrame
     )
 
 
+def live(registry: DataFrame) -> DataFrame:
+    """The versions that were not dropped, without the flag."""
+    if "dropped" not in registry.columns:
+        return registry
+    return registry.where(~F.coalesce("dropped", F.lit(False))).drop("dropped")
+
+
 def register(registry: DataFrame, new: DataFrame) -> DataFrame:
     """SCH-1: the registry with new schemas added.
 
     ``new(subject, message, descriptor)``. A schema its subject already has is not added
-    again; one known elsewhere keeps its id; others get the next ids, in subject order.
+    again; one known elsewhere, dropped or not, keeps its id; others get the next ids, in
+    subject order. Ids and version numbers of dropped versions are not given out again.
     """
     mark = F.sha2(F.col("descriptor"), 256)
     known = registry.withColumn("_mark", mark)
     fresh = (
         new.withColumn("_mark", mark).dropDuplicates(["subject", "_mark"])
-        .join(known.select("subject", "_mark"), ["subject", "_mark"], "left_anti")
+        .join(live(known).select("subject", "_mark"), ["subject", "_mark"], "left_anti")
     )
     ids = known.groupBy("_mark").agg(F.min("schema_id").alias("_id"))
     unseen = fresh.select("_mark").distinct().join(ids, "_mark", "left_anti")
@@ -76,16 +84,17 @@ def register(registry: DataFrame, new: DataFrame) -> DataFrame:
             F.col("_id").cast("int").alias("schema_id"), "message", "descriptor",
         )
     )
-    return registry.unionByName(rows)
+    return registry.unionByName(rows, allowMissingColumns=True)
 
 
 def subjects(registry: DataFrame) -> DataFrame:
     """SCH-2: all subjects."""
-    return registry.select("subject").distinct()
+    return live(registry).select("subject").distinct()
 
 
 def latest(registry: DataFrame) -> DataFrame:
     """SCH-2: newest version of every subject."""
+    registry = live(registry)
     rest = [c for c in registry.columns if c != "subject"]
     return registry.groupBy("subject").agg(F.max_by(F.struct(*rest), "version").alias("r")).select(
         "subject", "r.*"
@@ -93,14 +102,25 @@ def latest(registry: DataFrame) -> DataFrame:
 
 
 def by_id(registry: DataFrame, schema_id: int) -> DataFrame:
-    """SCH-2: where a schema id is used."""
+    """SCH-2: where a schema id is used; bytes on a log may still need a dropped one."""
     return registry.where(F.col("schema_id") == schema_id)
 
 
 def drop_version(registry: DataFrame, subject: str, version: int) -> DataFrame:
-    """SCH-3: the registry without one version; its id is not given out again while the
-    registry keeps a higher one."""
-    return registry.where(~((F.col("subject") == subject) & (F.col("version") == version)))
+    """SCH-3: the registry with one version marked as dropped."""
+    which = registry.sparkSession.createDataFrame([(subject, version)], "subject string, version int")
+    return drop_versions(registry, which)
+
+
+def drop_versions(registry: DataFrame, which: DataFrame) -> DataFrame:
+    """SCH-3: versions ``which(subject, version)`` marked as ``dropped``.
+
+    The rows stay, so that ``register`` gives out neither their ids nor their numbers again.
+    """
+    already = F.coalesce("dropped", F.lit(False)) if "dropped" in registry.columns else F.lit(False)
+    hit = which.select("subject", "version", F.lit(True).alias("_hit")).distinct()
+    marked = registry.join(hit, ["subject", "version"], "left")
+    return marked.withColumn("dropped", already | F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
 def modes(config: DataFrame, global_mode: str | None = None) -> DataFrame:
@@ -134,7 +154,7 @@ def field_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _declared(registry: DataFrame, fields: DataFrame) -> DataFrame:
-    return registry.select("subject", "version", "schema_id").join(fields, "schema_id")
+    return live(registry).select("subject", "version", "schema_id").join(fields, "schema_id")
 
 
 def _bit(kind: str) -> Column:
@@ -228,6 +248,7 @@ def compat(registry: DataFrame, fields: DataFrame, width: int = WIDTH) -> DataFr
         fault("reused_prev", "reused_any").alias("number_reused"),
         fault("renamed").alias("source_break"),
     )
+    registry = live(registry)
     no = F.lit(False)
     ok_prev, ok_any = ~F.coalesce("_prev", no), ~F.coalesce("_any", no)
     return registry.select("subject", "version", "schema_id").join(seen, ["subject", "version"], "left").select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidelog.operators.lookup import lookup
+from tidelog.operators.lookup import lookup, settled
 from tidelog.operators.positions import bounds
 from tidelog.operators.segments import segment_table
 from tidelog.operators.settings import settings
@@ -90,13 +90,15 @@ def compact(
 ) -> DataFrame:
     """RET-7, RET-8: latest record per key, at its own offset.
 
-    ``max_by`` keeps one record per key and task before the shuffle, so a key with a third
-    of the log costs one row per task. With ``now_ms``, tombstones older than
-    ``delete_retention_ms`` go too.
+    The newest offset of each key is found without payloads, by hash aggregates on both
+    sides of the shuffle, so a key with a third of the log costs one row per task. The
+    records at those addresses are then picked from the log: by broadcast if they are few.
+    With ``now_ms``, tombstones older than ``delete_retention_ms`` go too.
     """
-    rest = [c for c in log.columns if c not in (*ADDRESS, "key")]
-    latest = log.groupBy(*ADDRESS, "key").agg(F.max_by(F.struct(*rest), "offset").alias("r"))
-    kept = latest.select(*ADDRESS, "key", "r.*").select(*log.columns)
+    newest = log.groupBy(*ADDRESS, "key").agg(F.max("offset").alias("offset")).select(*ADDRESS, "offset")
+    few = settled(newest)
+    address = [*ADDRESS, "offset"]
+    kept = log.join(newest if few is None else F.broadcast(few), address, "left_semi").select(*log.columns)
     if now_ms is None:
         return kept
     old = F.unix_millis("timestamp") < F.lit(now_ms - delete_retention_ms)

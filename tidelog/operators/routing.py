@@ -23,12 +23,12 @@ def assign_partition(
 ) -> DataFrame:
     """PRT-1, PRT-2: partition by key hash; null keys are spread evenly by ``record_id``.
 
-    Row-wise, so no shuffle and no global counter: spreading null keys by a hash of the
-    record id is even, and the same on every run.
+    Row-wise, so no shuffle and no global counter: spreading null keys by the same hash, of
+    the record id, is even, and the same on every run.
     """
     chosen = key_partition(key, partitions)
     if record_id is not None:
-        spread = F.pmod(F.xxhash64(F.col(record_id)), F.lit(partitions)).cast("int")
+        spread = key_partition(f"cast({record_id} as string)", partitions)
         chosen = F.when(F.col(key).isNull(), spread).otherwise(chosen)
     return df.withColumn("partition", chosen)
 

@@ -406,12 +406,14 @@ def lag_trend(spark, sf):
 @query(
     "unfinished_partitions",
     f"WITH {s.LOG} SELECT DISTINCT topic, partition FROM log EXCEPT "
-    f"SELECT topic, partition FROM log WHERE \"timestamp\" >= TIMESTAMP '2024-01-30 23:00:00'",
+    f"SELECT topic, partition FROM log WHERE \"offset\" >= (SELECT count(*) // 3 FROM log)",
 )
 def unfinished_partitions(spark, sf):
-    """Partitions without a record in the last hour have not been seen to their end."""
+    """Partitions without a record at the mean length of a partition have not come so far."""
     log = d.events_log(spark, sf)
-    return matching.unfinished(log, log.where(F.col("timestamp") >= F.lit("2024-01-30 23:00:00").cast("timestamp")))
+    mean = log.agg(F.expr("count(*) div 3").alias("mean"))
+    reached = log.join(F.broadcast(mean), F.col("offset") >= F.col("mean")).drop("mean")
+    return matching.unfinished(log, reached)
 
 
 @query(
@@ -433,13 +435,14 @@ def key_partition(spark, sf):
 
 @query(
     "null_key_spread",
-    f"SELECT event_id, {s.part(s.USER)} AS partition FROM events WHERE event_type <> 'error'",
+    f"SELECT event_id, CASE WHEN event_type <> 'error' THEN {s.part(s.USER)} "
+    f"ELSE {s.part('event_id::VARCHAR')} END AS partition FROM events",
 )
 def null_key_spread(spark, sf):
-    """Keyed records are where their key says although others have none."""
+    """Keyed records are where their key says, those without a key where their id says."""
     key = F.when(F.col("event_type") != "error", F.col("key"))
     out = routing.assign_partition(d.raw_events(spark, sf).withColumn("key", key), "key", d.PARTITIONS, "event_id")
-    return out.where(F.col("key").isNotNull()).select("event_id", "partition")
+    return out.select("event_id", "partition")
 
 
 @query(

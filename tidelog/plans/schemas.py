@@ -8,6 +8,7 @@ from tidelog.operators import registry as reg
 from tidelog.plans import derive as d
 from tidelog.plans import sql as s
 from tidelog.plans.catalog import query
+from tidelog.scratch import cut
 
 
 @query(
@@ -130,6 +131,28 @@ def reserved_use(spark, sf):
     return reg.reserved_use(d.registry(spark, sf), d.fields(spark, sf))
 
 
+@query(
+    "schema_drop",
+    """WITH s AS (SELECT DISTINCT 'customer-' || o_custkey || '-value' AS subject, o_orderpriority AS shape,
+    o_orderdate < TIMESTAMP '1998-01-01' AS early FROM orders),
+ids AS (SELECT shape, row_number() OVER (ORDER BY min(subject), sha256(shape)) AS id FROM s WHERE early GROUP BY shape),
+kept AS (SELECT subject, shape, lead(id) OVER (PARTITION BY subject ORDER BY id) IS NULL AS dropped FROM s JOIN ids USING (shape) WHERE early),
+a AS (SELECT subject, count(*) AS n, count(*) FILTER (NOT dropped) AS live FROM kept GROUP BY subject),
+b AS (SELECT subject, count(*) AS n FROM s WHERE NOT early AND (subject, shape) NOT IN (SELECT (subject, shape) FROM kept WHERE NOT dropped) GROUP BY subject)
+SELECT subject, (coalesce(a.live, 0) + coalesce(b.n, 0))::INTEGER AS versions, (coalesce(a.n, 0) + coalesce(b.n, 0))::INTEGER AS top
+FROM a FULL JOIN b USING (subject) WHERE coalesce(a.live, 0) + coalesce(b.n, 0) > 0""",
+)
+def schema_drop(spark, sf):
+    """The newest version of each subject is dropped before later schemas are registered."""
+    early, late, empty = _shapes(spark, sf)
+    first = cut(reg.register(empty, early))
+    newest = first.groupBy("subject").agg(F.max("version").alias("version"))
+    both = reg.register(reg.drop_versions(first, newest), late)
+    return reg.live(both).groupBy("subject").agg(F.count("*").cast("int").alias("versions")).join(
+        both.groupBy("subject").agg(F.max("version").alias("top")), "subject"
+    )
+
+
 @query(
     "register_versions",
     """WITH s AS (SELECT 'customer-' || o_custkey || '-value' AS subject, o_orderpriority AS shape, min(o_orderkey) AS k FROM orders GROUP BY ALL)
@@ -137,14 +160,19 @@ SELECT subject, count(*)::INTEGER AS versions, count(DISTINCT shape)::INTEGER AS
 )
 def register_versions(spark, sf):
     """Schemas seen from 1998 on are registered after those of before; five shapes exist in all."""
+    early, late, empty = _shapes(spark, sf)
+    both = reg.register(reg.register(empty, early), late)
+    return both.groupBy("subject").agg(
+        F.count("*").cast("int").alias("versions"), F.countDistinct("schema_id").cast("int").alias("shapes")
+    )
+
+
+def _shapes(spark, sf):
+    """Schemas of orders from before 1998, of later ones, and an empty registry."""
     orders = d.table(spark, sf, "orders").select(
         F.concat(F.lit("customer-"), F.col("o_custkey").cast("string"), F.lit("-value")).alias("subject"),
         F.lit("Order").alias("message"), F.col("o_orderpriority").cast("binary").alias("descriptor"), "o_orderdate",
     )
     early = F.col("o_orderdate") < F.lit(d.NEWER).cast("timestamp_ntz")
     empty = spark.createDataFrame([], "subject string, version int, schema_id int, message string, descriptor binary")
-    first = reg.register(empty, orders.where(early).drop("o_orderdate"))
-    both = reg.register(first, orders.where(~early).drop("o_orderdate"))
-    return both.groupBy("subject").agg(
-        F.count("*").cast("int").alias("versions"), F.countDistinct("schema_id").cast("int").alias("shapes")
-    )
+    return orders.where(early).drop("o_orderdate"), orders.where(~early).drop("o_orderdate"), empty

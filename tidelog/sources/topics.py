@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidelog.operators.lookup import lookup
+from tidelog.operators.lookup import lookup, settled
 from tidelog.schemas import TOPIC, Field
 
 ADDRESS = ["topic", "partition"]
@@ -66,8 +66,32 @@ def broker_options(
 
 def drain(topic: DataFrame, until: DataFrame) -> DataFrame:
     """SRC-2: every record below the given ends; ``until`` is ``bounds(log)`` at one moment."""
-    ends = until.select(*ADDRESS, F.col("log_end").alias("_end"))
-    return lookup(topic, ends, ADDRESS).where(F.col("offset") < F.col("_end")).drop("_end")
+    ends = _once(until.select(*ADDRESS, F.col("log_end").alias("_end")))
+    near = _reachable(topic, ends, None, "_end")
+    return lookup(near, ends, ADDRESS).where(F.col("offset") < F.col("_end")).drop("_end")
+
+
+def _once(table: DataFrame) -> DataFrame:
+    few = settled(table)
+    return table if few is None else few
+
+
+def _reachable(df: DataFrame, ranges: DataFrame, low: str | None, high: str) -> DataFrame:
+    """The records between the lowest and the highest address of ``ranges``.
+
+    The bounds are literals, so a landed log leaves out the folders, files and row groups
+    beyond them. Rows outside would find no partner in the join that follows.
+    """
+    ends = [*((c, c) for c in ADDRESS), *([("offset", low)] if low else [])]
+    row = ranges.agg(
+        *[F.min(b).alias(f"lo_{c}") for c, b in ends],
+        *[F.max(c).alias(f"hi_{c}") for c in ADDRESS], F.max(high).alias("end"),
+    ).first()
+    for c, _ in ends:
+        df = df.where(F.col(c) >= F.lit(row[f"lo_{c}"]))
+    for c in ADDRESS:
+        df = df.where(F.col(c) <= F.lit(row[f"hi_{c}"]))
+    return df.where(F.col("offset") < F.lit(row["end"]))
 
 
 def read_first(df: DataFrame, n: int, per_partition: bool = True) -> DataFrame:
@@ -84,7 +108,9 @@ def read_first(df: DataFrame, n: int, per_partition: bool = True) -> DataFrame:
 def read_range(df: DataFrame, ranges: DataFrame) -> DataFrame:
     """SRC-4: records with ``from_offset <= offset < to_offset`` of their partition."""
     inside = (F.col("offset") >= F.col("from_offset")) & (F.col("offset") < F.col("to_offset"))
-    return lookup(df, ranges, ADDRESS).where(inside).drop("from_offset", "to_offset")
+    ranges = _once(ranges)
+    near = _reachable(df, ranges, "from_offset", "to_offset")
+    return lookup(near, ranges, ADDRESS).where(inside).drop("from_offset", "to_offset")
 
 
 def offset_for_time(df: DataFrame, moment: dt.datetime | str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -25,14 +26,18 @@ def dedupe_retries(df: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """
     if df.isStreaming:
         return df.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(SEQUENCE)
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in SEQUENCE])
     repeated = (
-        df.groupBy(*SEQUENCE).agg(F.min("offset").alias("_first"), F.count("*").alias("_n"))
+        df.where(whole).groupBy(*SEQUENCE).agg(F.min("offset").alias("_first"), F.count("*").alias("_n"))
         .where("_n > 1").drop("_n")
     )
-    few = settled(repeated)
-    marked = df.join(repeated if few is None else F.broadcast(few), SEQUENCE, "left")
     only = F.col("_first").isNull() | (F.col("offset") == F.col("_first"))
-    return marked.where(only).select(*df.columns)
+    few = settled(repeated)
+    if few is not None:
+        return df.join(F.broadcast(few), SEQUENCE, "left").where(only).select(*df.columns)
+    # Records without a sequence would all meet in one task of a shuffle.
+    marked = df.where(whole).join(repeated, SEQUENCE, "left").where(only).select(*df.columns)
+    return marked.unionByName(df.where(~whole))
 
 
 def write_changes(path: str):
@@ -55,20 +60,25 @@ _HELD = "offset bigint, timestamp timestamp, value binary"
 
 
 class _Latest(StatefulProcessor):
-    """Holds the newest record of one key; a tombstone clears it."""
+    """Holds the newest record of one key; of a tombstone only the offset."""
+
+    def __init__(self, tombstone_ms: int | None) -> None:
+        self._tombstone_ms = tombstone_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._held = handle.getValueState("held", _HELD)
+        self._gone = handle.getValueState("gone", "offset bigint", self._tombstone_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         newest = max(rows, key=lambda r: r["offset"])
-        held = self._held.get() if self._held.exists() else None
-        if held is not None and held[0] >= newest["offset"]:
+        if any(s.exists() and s.get()[0] >= newest["offset"] for s in (self._held, self._gone)):
             return
         gone = newest["value"] is None
         if gone:
             self._held.clear()
+            self._gone.update((newest["offset"],))
         else:
+            self._gone.clear()
             self._held.update((newest["offset"], newest["timestamp"], newest["value"]))
         yield Row(
             topic=key[0], partition=key[1], key=key[2], offset=newest["offset"],
@@ -79,19 +89,23 @@ class _Latest(StatefulProcessor):
         pass
 
 
-def current_state(changes: DataFrame) -> DataFrame:
+def current_state(changes: DataFrame, delete_retention_ms: int | None = None) -> DataFrame:
     """STR-9: stream of changes to the latest value per key; ``deleted`` marks tombstones.
 
-    ``changes`` reads what ``write_changes`` wrote. State is one record per live key.
-    Rows of one log partition arrive in offset order, as the log has them.
+    ``changes`` reads what ``write_changes`` wrote. State is one record per live key, and
+    the offset of each tombstone, so that an older record that comes later does not bring
+    the key back. With ``delete_retention_ms`` that offset is let go so long after it
+    arrived; Spark then goes on starting batches, so a query that is to end with its input
+    (``availableNow``) must not have it.
     """
     spark = changes.sparkSession
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    mode = "None" if delete_retention_ms is None else "ProcessingTime"
     return changes.groupBy("topic", "partition", "key").transformWithState(
-        statefulProcessor=_Latest(), outputStructType=_CHANGE, outputMode="Update", timeMode="None"
+        statefulProcessor=_Latest(delete_retention_ms), outputStructType=_CHANGE, outputMode="Update", timeMode=mode
     )
 
 
