@@ -28,4 +28,5 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 def load() -> None:
     """Import every module that registers queries."""
-    from tidelog.plans import delivery, logs, messages, retention, schemas, streams  # noqa: F401
+    from tidelog.plans import defaults, delivery, logs, messages, retention, schemas, streams  # noqa: F401
+    from tidelog.plans import scales  # noqa: F401  # its twins are those of the others

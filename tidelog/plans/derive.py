@@ -222,6 +222,18 @@ def topic_config(spark: SparkSession, cleanup: str = "delete") -> DataFrame:
     )
 
 
+def mixed_config(spark: SparkSession) -> DataFrame:
+    """Topics per event type: clicks have limits, views have -1, the others have no row."""
+    rows = [
+        ("events.click", 10 * 86_400_000, 20_000, 2_000, 86_400_000, "compact,delete"),
+        ("events.view", -1, -1, 2_000, 86_400_000, "delete"),
+    ]
+    return spark.createDataFrame(
+        rows,
+        "topic string, retention_ms bigint, retention_bytes bigint, segment_bytes bigint, segment_ms bigint, cleanup_policy string",
+    )
+
+
 def supplier_config(spark: SparkSession, sf: str) -> DataFrame:
     """Settings of one topic per supplier."""
     return table(spark, sf, "supplier").select(

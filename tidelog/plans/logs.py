@@ -348,6 +348,10 @@ def offset_gaps(spark, sf):
 LIFE = "CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 END"
 
 
+def lifecycle_steps():
+    return F.when(F.col("status") == "signup", 1).when(F.col("status") == "view", 2).when(F.col("status") == "purchase", 3)
+
+
 @query(
     "lifecycle_breaks",
     f"WITH {s.LOG} SELECT topic, partition, \"offset\", \"key\", status, \"rank\", previous FROM ("
@@ -357,8 +361,7 @@ LIFE = "CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase'
 )
 def lifecycle_breaks(spark, sf):
     log = d.events_log(spark, sf).withColumnRenamed("event_type", "status")
-    steps = F.when(F.col("status") == "signup", 1).when(F.col("status") == "view", 2).when(F.col("status") == "purchase", 3)
-    out = ordering.lifecycle_breaks(log, steps)
+    out = ordering.lifecycle_breaks(log, lifecycle_steps())
     return out.select(*ADDRESS, F.col("key").cast("string").alias("key"), "status", "rank", "previous")
 
 

@@ -147,3 +147,45 @@ cleaned AS (
   SELECT topic, partition, min(segment_base) AS log_start_before,
          coalesce(min(segment_base) FILTER (keep), max(last_offset) + 1)::BIGINT AS log_start_after,
          max(last_offset) + 1 AS log_end FROM judged GROUP BY topic, partition)"""
+
+# Segments of the topics per event type, each by its own limits or those of the broker.
+MIXED = TYPES + """, config AS (
+  SELECT * FROM (VALUES ('events.click', 864000000, 20000, 2000, 86400000), ('events.view', NULL, NULL, 2000, 86400000))
+    c(topic, ret_ms, ret_bytes, seg_bytes, seg_ms)),
+limits AS (
+  SELECT t.topic, CASE WHEN c.topic IS NULL THEN 604800000 ELSE c.ret_ms END AS ret_ms, c.ret_bytes,
+         coalesce(c.seg_bytes, 1073741824) AS seg_bytes, coalesce(c.seg_ms, 604800000) AS seg_ms
+  FROM (SELECT DISTINCT topic FROM log) t LEFT JOIN config c ON t.topic = c.topic),
+sized AS (
+  SELECT topic, partition, "offset", octet_length(encode("value")) AS size, (epoch_us("timestamp") // 1000) AS ms,
+         sum(octet_length(encode("value"))) OVER (PARTITION BY topic, partition ORDER BY "offset"
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - octet_length(encode("value")) AS ahead,
+         l.seg_bytes, l.seg_ms
+  FROM log JOIN limits l USING (topic)),
+starts AS (
+  WITH RECURSIVE jump AS (
+    SELECT topic, partition, min("offset") AS base FROM sized GROUP BY topic, partition
+    UNION ALL
+    SELECT j.topic, j.partition, (
+      SELECT min(n."offset") FROM sized n, sized s
+      WHERE s.topic = j.topic AND s.partition = j.partition AND s."offset" = j.base
+        AND n.topic = j.topic AND n.partition = j.partition AND n."offset" > j.base
+        AND (n.ahead - s.ahead >= s.seg_bytes OR n.ms - s.ms >= s.seg_ms)) AS base
+    FROM jump j WHERE j.base IS NOT NULL)
+  SELECT topic, partition, base FROM jump WHERE base IS NOT NULL),
+ranged AS (
+  SELECT topic, partition, base, lead(base) OVER (PARTITION BY topic, partition ORDER BY base) AS nxt FROM starts),
+segs AS (
+  SELECT s.topic, s.partition, r.base AS segment_base, max(s."offset") AS last_offset,
+         sum(s.size)::BIGINT AS n_bytes, max(s.ms) AS last_ms,
+         any_value(r.nxt) IS NULL AND sum(s.size) < any_value(s.seg_bytes)
+           AND 1706659200000 < arg_min(s.ms, s."offset") + any_value(s.seg_ms) AS is_active
+  FROM sized s JOIN ranged r ON s.topic = r.topic AND s.partition = r.partition AND s."offset" >= r.base
+    AND (r.nxt IS NULL OR s."offset" < r.nxt)
+  GROUP BY s.topic, s.partition, r.base),
+judged AS (
+  SELECT *, is_active OR (bool_or(is_active OR young) OVER (PARTITION BY topic, partition ORDER BY segment_base) AND fits) AS keep
+  FROM (SELECT g.*, coalesce(g.last_ms >= 1706659200000 - l.ret_ms, true) AS young,
+               coalesce(sum(CASE WHEN is_active THEN 0 ELSE n_bytes END)
+                 OVER (PARTITION BY g.topic, g.partition ORDER BY segment_base DESC) <= l.ret_bytes, true) AS fits
+        FROM segs g JOIN limits l ON g.topic = l.topic))"""
