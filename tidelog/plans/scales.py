@@ -22,7 +22,7 @@ ADDRESS = ["topic", "partition", "offset"]
 
 @query("segments_levels", ORACLES["segment_table"])
 def segments_levels(spark, sf):
-    return seg.segment_table(d.events_log(spark, sf), d.topic_config(spark), d.NOW_MS, leaf=64, fan=4)
+    return seg.segment_table(d.events_log(spark, sf), d.topic_config(spark), d.NOW_MS, leaf=256, fan=4)
 
 
 @query("offsets_blocks", ORACLES["assign_offsets"])
