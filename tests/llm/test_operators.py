@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cases import documents, empty, long_text, rows
 from tidelog.llm import balltree, bpe, imatch, jaccard, language, licenses, mixing, pii, token_files, urlfilter
@@ -302,3 +303,17 @@ def test_next_rows_over_many_blocks(spark, monkeypatch):
     frame = spark.createDataFrame(data, "doc_id long, text string")
     got = {r["doc_id"]: r["next_text"] for r in imatch.with_next(frame, ["text"]).collect()}
     assert got == {i: data[(k + 1) % 100][1] for k, (i, _) in enumerate(data)}
+
+
+def test_subsets_cover_the_lexicon(spark):
+    in_some = F.exists(F.array(*[imatch._hash(F.array(F.xxhash64("id")), i) for i in range(imatch.SUBSETS)]), lambda h: h.isNotNull())
+    assert spark.range(4_000).filter(in_some).count() > 0.75 * 4_000
+
+
+def test_some_hash_of_a_very_long_text_survives(spark):
+    def prints(first):
+        used = F.sort_array(F.transform(F.sequence(first, first + 9_999), lambda t: F.xxhash64(t)))
+        return imatch._hashes(used)
+
+    got = spark.range(40).select(imatch.likeness(prints(F.col("id") * 100_000), prints(F.col("id") * 100_000 + 2_500)).alias("near"))
+    assert sum(r["near"] > 0 for r in got.collect()) > 20

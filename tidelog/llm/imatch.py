@@ -13,7 +13,10 @@ from tidelog.llm.common import block_of, quantiles, table
 LOW, HIGH = 0.001, 0.2
 # Bits of the lexicon's filter; a term outside the band passes with the chance of a set bit.
 BITS = 1 << 22
-SUBSETS, COARSEST, SCALES = 18, 4, 6
+# Subsets keep from a quarter of the terms, so that short texts fill most hashes and four of
+# five terms are in some subset, to one in 4,096, so that some hash of a very long text
+# survives an edit.
+SUBSETS, COARSEST, SCALES = 33, 2, 11
 BLOCK_ROWS, BLOCKS = 2_000, 4_096
 EMPTY = "-"
 
