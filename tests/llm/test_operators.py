@@ -197,6 +197,20 @@ def test_join_against_brute_force(spark, block, monkeypatch):
     assert collect(jaccard.jaccard_components(frame, 4, 85)) == brute(data, 4, 85)
 
 
+@pytest.mark.parametrize("block", [4_000, 3])
+def test_every_link_is_counted_and_given(spark, block, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
+    data = near_copies() + [(1_000, "one two three four five"), (1_001, "ONE two three four five"), (1_002, None)]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    found = [{tuple(w[j : j + 4]) for j in range(max(1, len(w) - 3))} if w else set() for w in ((t or "").lower().split() for _, t in data)]
+    linked = [(a, b) for b in range(len(data)) for a in range(b) if found[a] and 100 * len(found[a] & found[b]) >= 85 * len(found[a] | found[b])]
+    want = Counter(data[k][0] for pair in linked for k in pair)
+    assert {r["doc_id"]: r["n_links"] for r in jaccard.jaccard_links(frame, 4, 85).collect()} == {i: want[i] for i, _ in data}
+    least = lambda k: next(i for (i, _), s in zip(data, found) if s == found[k])
+    pairs = {tuple(sorted((least(a), least(b)))) for a, b in linked if found[a] != found[b]}
+    assert collect(jaccard.jaccard_pairs(frame, 4, 85)) == sorted(pairs, key=repr)
+
+
 def test_join_cases(spark):
     data = [r[:2] for r in rows()]
     assert collect(jaccard.jaccard_components(documents(spark), 4, 85)) == brute(data, 4, 85)

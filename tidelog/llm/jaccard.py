@@ -34,7 +34,8 @@ BLOCK_SETS = 4_000
 BLOCK_SHINGLES = 1_500_000
 # Weight of a long list against a short one in DivideSkip.
 MU = 0.01
-# Postings up to which lists are merged on a heap; longer ones are merged by one sort.
+# Postings up to which lists are merged on a heap; longer ones are merged by one sort, or
+# counted if there are more postings than sets.
 HEAP = 512
 NO_ID = -(1 << 63)
 # Levels are kept with the number of hashes to share, which is below this.
@@ -125,7 +126,7 @@ class Levels:
 
 
 def sets(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, n, d1, d2``: size and 128-bit name of every document's set."""
+    """``doc_id, h, n, d1, d2``: hash of the text, size and 128-bit name of the set of every row."""
 
     def run(batches):
         for batch in batches:
@@ -134,11 +135,11 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
                 n.append(len(found))
                 names.append(_node(found))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()),
+                "doc_id": batch.column("doc_id"), "h": batch.column("h"), "n": pa.array(n, pa.int64()),
                 "d1": pa.array([a for a, _ in names], pa.int64()), "d2": pa.array([b for _, b in names], pa.int64()),
             })
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long")
+    return docs.selectExpr("cast(doc_id as long) doc_id", "xxhash64(text) h", "text").mapInArrow(run, "doc_id long, h long, n long, d1 long, d2 long")
 
 
 def meetings(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -184,29 +185,26 @@ def _marks(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], ["sig", "node", "tag"])
 
 
-def _merge(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _merge(lists: list[np.ndarray], sets: int) -> tuple[np.ndarray, np.ndarray]:
     """Members of sorted lists in order, and in how many lists each is."""
-    if sum(map(len, lists)) > HEAP:
+    total = sum(map(len, lists))
+    if total > max(HEAP, sets):
+        counts = np.bincount(np.concatenate(lists), minlength=sets)
+        ids = np.flatnonzero(counts)
+        return ids, counts[ids]
+    if total > HEAP:
         return np.unique(np.concatenate(lists), return_counts=True)
     runs = [(k, sum(1 for _ in same)) for k, same in groupby(heapq.merge(*(x.tolist() for x in lists)))]
     return np.array([k for k, _ in runs], np.int64), np.array([n for _, n in runs], np.int64)
 
 
-def search(found: list[np.ndarray], percent: int, split: int | None = None) -> list[int]:
-    """For each set the smallest position it is connected to by links among ``found``.
+def search(found: list[np.ndarray], percent: int, split: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """Each set's position with the positions of all sets it is linked to, every pair once.
 
     With ``split`` only links across that position are looked for: those before it are
-    queries, those from it on are indexed. Otherwise all are both. A candidate that is
-    already known to be connected is not counted again.
+    queries, those from it on are indexed. Otherwise all are both, and the later set of a
+    pair is given with the earlier. Sets without a link are left out.
     """
-    parent = list(range(len(found)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
     first = split or 0
     sizes = np.array([len(x) for x in found])
     owner = np.repeat(np.arange(first, len(found)), sizes[first:])
@@ -227,64 +225,88 @@ def search(found: list[np.ndarray], percent: int, split: int | None = None) -> l
         longest = int(lengths.max())
         skipped = min(least - 1, int(least / (MU * np.log2(longest + 1) + 1)), len(known) - 1)
         short, long = by_length[: len(known) - skipped], by_length[len(known) - skipped :]
-        ids, counts = _merge([owner[starts[k] : starts[k + 1]] for k in short])
+        ids, counts = _merge([owner[starts[k] : starts[k + 1]] for k in short], len(found))
         fits = (counts >= least - skipped) & (sizes[ids] * percent <= size * 100) & (size * percent <= sizes[ids] * 100)
         fits &= ids > query if split is None else True
         ids, counts = ids[fits], counts[fits]
-        mine = root(query)
-        apart = np.array([root(i) != mine for i in ids.tolist()], bool)
-        ids, counts = ids[apart], counts[apart]
         if not len(ids):
             continue
-        for k in long:
-            members = owner[starts[k] : starts[k + 1]]
-            at = np.minimum(np.searchsorted(members, ids), len(members) - 1)
-            counts = counts + (members[at] == ids)
-        linked = 100 * counts >= percent * (size + sizes[ids] - counts)
-        for other in ids[linked].tolist():
-            a, b = sorted((root(query), root(other)))
-            parent[b] = a
-    return [root(i) for i in range(len(found))]
+        members = [owner[starts[k] : starts[k + 1]] for k in long]
+        if len(ids) * len(long) > sum(map(len, members)):
+            # Many candidates: reading the lists is less work than as many probes.
+            counts = counts + np.bincount(np.concatenate(members), minlength=len(found))[ids]
+        else:
+            for one in members:
+                at = np.minimum(np.searchsorted(one, ids), len(one) - 1)
+                counts = counts + (one[at] == ids)
+        others = ids[100 * counts >= percent * (size + sizes[ids] - counts)]
+        if len(others):
+            yield query, others
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, dict]]:
     """Rows of each block pair; they come sorted, and one pair is held at a time."""
     key, rows = None, {}
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("cell", "i", "j", "side", "node", "shingles")]
-        for cell, i, j, side, node, shingles in zip(*columns):
+        columns = [batch.column(c).to_pylist() for c in ("cell", "i", "j", "side", "node", "copies", "shingles")]
+        for cell, i, j, side, node, copies, shingles in zip(*columns):
             if (cell, i, j) != key:
                 if rows:
                     yield key, rows
                 key, rows = (cell, i, j), {}
-            rows[node] = side, shingles
+            rows[node] = side, copies, shingles
     if rows:
         yield key, rows
 
 
+def _found(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, Iterator[tuple[int, np.ndarray]]]]:
+    """Sets, their numbers of rows, and their links, of each block pair."""
+    for (_, i, j), rows in _cells(batches):
+        # Queries of the first block before the second; inside one block in order of size.
+        named = sorted(rows.items(), key=lambda r: (r[1][0], len(r[1][2]), r[0]))
+        split = None if i == j else sum(side == 0 for _, (side, _, _) in named)
+        links = search([np.frombuffer(s, np.uint64) for _, (_, _, s) in named], percent, split)
+        yield np.array([n for n, _ in named], np.int64), np.array([c for _, (_, c, _) in named], np.int64), links
+
+
 def _connect(percent: int):
+    """For each set with a link the first set it is connected to, and how many rows it is linked to."""
+
     def run(batches):
-        for (cell, i, j), rows in _cells(batches):
-            # Queries of the first block before the second; inside one block in order of size.
-            named = sorted(rows.items(), key=lambda r: (r[1][0], len(r[1][1]), r[0]))
-            nodes = [n for n, _ in named]
-            split = None if i == j else sum(side == 0 for _, (side, _) in named)
-            roots = search([np.frombuffer(s, np.uint64) for _, (_, s) in named], percent, split)
-            pairs = [(nodes[a], nodes[r]) for a, r in enumerate(roots) if a != r]
-            yield pa.RecordBatch.from_pydict({
-                "cell": pa.array([cell] * len(pairs), pa.int64()),
-                "u": pa.array([a for a, _ in pairs], pa.int64()), "v": pa.array([b for _, b in pairs], pa.int64()),
-            })
+        for nodes, copies, links in _found(batches, percent):
+            label, total = np.arange(len(nodes)), np.zeros(len(nodes), np.int64)
+            for query, others in links:
+                total[query] += copies[others].sum()
+                total[others] += copies[query]
+                joined = np.unique(label[np.append(others, query)])
+                if len(joined) > 1:
+                    label[np.isin(label, joined)] = joined[0]
+            linked = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes[linked]), pa.array(nodes[label[linked]]), pa.array(total[linked])], ["u", "v", "links"]
+            )
 
     return run
 
 
-def _search_cells(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links ``cell, u, v`` found in the cells that ``members (cell, node, doc_id, n)`` make."""
+def _pair(percent: int):
+    """Every link, as two sets."""
+
+    def run(batches):
+        for nodes, _, links in _found(batches, percent):
+            for query, others in links:
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(others), nodes[query])), pa.array(nodes[others])], ["u", "v"])
+
+    return run
+
+
+def _spread(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """The sets of the cells that ``members (cell, node, doc_id, h, copies, n)`` make, dealt to
+    pairs of blocks. Any two sets of a cell meet in just one pair."""
     totals = members.groupBy("cell").agg(F.count("*").alias("sets"), F.sum("n").alias("all"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int")
     placed = members.join(totals, "cell").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "cell", "node",
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "h", "cell", "node", "copies",
         blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
     )
 
@@ -298,51 +320,90 @@ def _search_cells(docs: DataFrame, members: DataFrame, words: int, percent: int)
                     raw.append(found.tobytes())
             some = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [some.column(c) for c in ("cell", "node", "blocks", "block")] + [pa.array(raw, pa.binary())],
-                ["cell", "node", "blocks", "block", "shingles"],
+                [some.column(c) for c in ("cell", "node", "copies", "blocks", "block")] + [pa.array(raw, pa.binary())],
+                ["cell", "node", "copies", "blocks", "block", "shingles"],
             )
 
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), "text")
-    shipped = texts.join(placed.hint("shuffle_hash"), "key").select("cell", "node", "blocks", "block", "text").mapInArrow(
-        run, "cell long, node long, blocks int, block int, shingles binary"
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64("text").alias("h"), "text")
+    shipped = texts.join(placed.hint("shuffle_hash"), ["key", "h"]).select("cell", "node", "copies", "blocks", "block", "text").mapInArrow(
+        run, "cell long, node long, copies long, blocks int, block int, shingles binary"
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     spread = shipped.withColumn("other", other).select(
         "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "shingles",
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "copies", "shingles",
     )
-    dealt = spread.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    return dealt.mapInArrow(_connect(percent), "cell long, u long, v long")
-
+    return spread.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document.
 
-    Documents are linked when ``100 * |A & B| >= percent * |A | B|`` for their sets of
-    distinct ``words``-word shingles; a component is named by its smallest ``doc_id``.
-    Documents with equal sets are one class, searched once. Null, empty and blank texts
-    have no shingles and are components of their own; a null ``doc_id`` never names a
-    component unless all its members are null. Repeated rows are equal sets, other columns
-    are ignored, no rows give no rows.
-    """
+def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' sets, the classes of equal sets, and the sets dealt to where they may be linked."""
     named = cut(sets(docs, words))
-    classes = named.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    classes = named.filter("n > 0").groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("doc_id"), F.coalesce(F.min_by("h", "doc_id"), F.min("h")).alias("h"),
+        F.first("n").alias("n"), F.count("*").alias("copies"),
+    )
     cells = cut(components(meetings(docs, words, percent)))
     members = cut(
         cells.select(F.col("node").alias("d1"), F.col("root").alias("cell"))
-        .join(classes, "d1").select("cell", F.col("d1").alias("node"), "doc_id", "n")
+        .join(classes, "d1").select("cell", F.col("d1").alias("node"), "doc_id", "h", "copies", "n")
     )
-    links = cut(_search_cells(docs, members, words, percent))
-    merged = components(links)
-    rooted = classes.join(merged.select(F.col("node").alias("d1"), "root"), "d1", "left")
-    known = cut(rooted.select("d1", "d2", "doc_id", F.coalesce("root", "d1").alias("root")))
+    return named, classes, _spread(docs, members, words)
+
+
+def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, h, n_shingles, root, component_id, n_links`` of every row.
+
+    As ``jaccard_links``; ``h`` is ``xxhash64(text)`` and ``root`` stands for the component,
+    whatever ids its members have; null where there are no shingles.
+    """
+    named, classes, dealt = _classes(docs, words, percent)
+    links = cut(dealt.mapInArrow(_connect(percent), "u long, v long, links long"))
+    merged = components(links).withColumnRenamed("node", "d1")
+    total = links.groupBy(F.col("u").alias("d1")).agg(F.sum("links").alias("links"))
+    rooted = classes.join(merged, "d1", "left").join(total, "d1", "left")
+    known = cut(rooted.select(
+        "d1", "d2", "doc_id", F.coalesce("root", "d1").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
+    ))
     heads = known.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_class = known.join(heads, "root").select("d1", "d2", "component_id")
-    return (
-        named.join(of_class, ["d1", "d2"], "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    of_class = known.join(heads, "root").select("d1", "d2", "root", "component_id", "links")
+    return named.join(of_class, ["d1", "d2"], "left").select(
+        "doc_id", "h", F.col("n").alias("n_shingles"), "root",
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce("links", F.lit(0)).alias("n_links"),
     )
 
 
+def jaccard_links(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` of every document.
+
+    Documents are linked when ``100 * |A & B| >= percent * |A | B|`` for their sets of
+    distinct ``words``-word shingles; a component is named by its smallest ``doc_id``, and
+    ``n_links`` counts the other rows a row is linked to, each link verified. Documents with
+    equal sets are one class, searched once, and linked to each other. Null, empty and
+    blank texts have no shingles and are components of their own; a null ``doc_id`` never
+    names a component unless all its members are null. Repeated rows are equal sets, other
+    columns are ignored, no rows give no rows.
+    """
+    return jaccard_groups(docs, words, percent).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def jaccard_pairs(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, other_id``: every link between two different sets, once.
+
+    A set is named by the smallest ``doc_id`` that has it (null if none has one). The rows
+    grow with the square of a group of near copies; ``jaccard_links`` only counts them.
+    """
+    _, classes, dealt = _classes(docs, words, percent)
+    pairs = dealt.mapInArrow(_pair(percent), "u long, v long")
+    ids = classes.select(F.col("d1").alias("u"), F.col("doc_id").alias("a")), classes.select(F.col("d1").alias("v"), F.col("doc_id").alias("b"))
+    return pairs.join(ids[0], "u").join(ids[1], "v").select(F.least("a", "b").alias("doc_id"), F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(None)).otherwise(F.greatest("a", "b")).alias("other_id"))
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document, as in ``jaccard_links``."""
+    return jaccard_groups(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+    return jaccard_links(table(spark, sf_dir, "documents"), words=4, percent=85)
