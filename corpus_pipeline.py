@@ -36,14 +36,26 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group linked by five-word shingles at a similarity of 0.8.
 
-    The smallest ``doc_id`` stays; of repeated rows one. Documents without words, which are
-    in no group, and documents without an id stay.
+    The smallest ``doc_id`` stays, then the smallest hash of the text; an id counts for its
+    own text only, and rows without an id are judged like others, after those with one. Rows
+    of equal id (or none) and equal text are one document, of which the first in order of the
+    other columns stays. Documents without words are in no group, so each of them stays.
     """
-    groups = jaccard.jaccard_components(docs, words=5, percent=80)
-    # All rows of one id and equal text are one document.
-    heads = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    stay = docs.join(heads, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return stay.union(docs.filter("doc_id is null"))
+    groups = jaccard.jaccard_groups(docs, words=5, percent=80)
+    heads = groups.filter("n_shingles > 0").groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("head")
+    )
+    alone = groups.filter("n_shingles = 0").select("doc_id", "h")
+    keys = heads.select("head.doc_id", "head.h").union(alone).distinct().select(F.struct("doc_id", "h").alias("key_"))
+    rest = [c for c in docs.columns if c != "text"]
+    # Maps have no order.
+    ordered = [c for c, kind in docs.dtypes if c != "text" and "map<" not in kind and "variant" not in kind]
+    keyed = docs.select(
+        F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h")).alias("key_"), "text",
+        F.struct(*rest).alias("rest_"), F.struct(*ordered).alias("order_"),
+    )
+    stay = keyed.join(keys, "key_", "left_semi").groupBy("key_", "text").agg(F.min_by("rest_", "order_").alias("rest_"))
+    return stay.select(*[F.col("text") if c == "text" else F.col(f"rest_.`{c}`") for c in docs.columns])
 
 
 def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,3 +34,17 @@ def test_stages_on_awkward_rows(spark):
 def test_stages_on_no_rows(spark):
     for _, stage in pipeline.STAGES:
         assert stage(spark, empty(spark), "").count() == 0
+
+
+def test_shared_and_missing_ids(spark):
+    text = lambda c, n=60: " ".join(f"{c}{i}" for i in range(n))
+    near = lambda c: text(c).replace(f"{c}59", "x")
+    data = [
+        (1, text("a"), "en", "b"), (1, text("a"), "en", "a"), (7, near("a"), "en", "a"), (7, text("b"), "en", "a"),
+        (7, text("c"), "en", "a"), (9, near("c"), "en", "a"), (None, near("b"), "en", "a"), (None, text("d"), "en", "a"),
+        (None, text("d"), "en", "a"), (None, near("d"), "en", "a"), (8, "", "en", "a"), (8, " ", "en", "a"),
+    ]
+    got = [(r["doc_id"], r["text"], r["source"]) for r in pipeline.deduplicate(spark, documents(spark, data), "").collect()]
+    alone = [g for g in got if g[0] is None]
+    assert len(alone) == 1 and alone[0][1] in (text("d"), near("d"))
+    assert sorted(g for g in got if g[0]) == sorted([(1, text("a"), "a"), (7, text("b"), "a"), (7, text("c"), "a"), (8, "", "a"), (8, " ", "a")])
