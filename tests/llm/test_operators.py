@@ -290,6 +290,24 @@ def test_licences(spark):
     assert all(hints.search(text.lower()) for _, text in licenses.KNOWN)
 
 
+def test_whole_licences(spark):
+    import textwrap
+
+    wrap = lambda text, width=70: "\n\n".join(textwrap.fill(p, width) for p in text.split("\n\n"))
+    isc = licenses.ISC.replace("that the above copyright", "that the above\ncopyright")
+    held = dict(licenses.whole_texts())
+    names = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-3.0-only", "MPL-2.0"]
+    bare = lambda text: "\n".join(line.strip() for line in text.split("\n"))
+    data = [(i, wrap(held[name], 60) if i < 2 else bare(held[name]), "en", "a") for i, name in enumerate(names)]
+    data += [(10, isc, "en", "a"), (11, "# Tool\n\nWhat it does.\n\nCopyright (c) 2020 Some One\n\n" + wrap(licenses.MIT) + "\n\nThe end.", "en", "a")]
+    data += [(12, "# Tool\n\n" + wrap(held["BSD-2-Clause"]) + "\n\nend", "en", "a"), (13, licenses.MIT.split("\n\n")[2] + " permission", "en", "a")]
+    data += [(14, "Copyright The Tool Authors\n\n" + licenses.ISC, "en", "a")]
+    got = {r["doc_id"]: r for r in licenses.scan(documents(spark, data), licenses.digests(spark)).collect()}
+    assert [got[i]["licenses"] for i in range(6)] == names and all(got[i]["whole"] for i in range(6))
+    assert got[10]["licenses"] == got[14]["licenses"] == "ISC" and got[10]["whole"] and got[14]["whole"]
+    assert got[11]["licenses"] == "MIT" and not got[11]["whole"] and got[12]["licenses"] == "BSD-2-Clause" and got[13]["n_hits"] == 0
+
+
 # Fingerprints
 
 def test_fingerprints(spark):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,20 +42,74 @@ KNOWN = [
 HINTS = "licen|permission"
 # Spellings that count as one, after lower-casing.
 SPELLINGS = [("licence", "license"), ("licencing", "licensing"), ("organisation", "organization"), ("sub-license", "sublicense"), ("non-infringement", "noninfringement"), ("merchantibility", "merchantability")]
-COPYRIGHT = r"(?m)^[ \t]*(copyright|\(c\)|©)[^\n]*$"
+# Lines that begin so go if they have a year, a sign, a place for a name, or a holder with a
+# capital. Lines of wrapped prose ("copyright notice and this ...") and items (c) stay.
+COPYRIGHT = (
+    r"(?m)^[ \t]*(?:©|(?i:copyright)(?=[^\n]*(?:\([cC]\)|©|\b(?:19|20)\d\d\b|[<\[{]))"
+    r"|(?i:copyright)[ \t:]+(?:by[ \t]+)?(?!(?i:notice|holder|owner|law|licen[cs]e|statement|interest|permission|disclaimer|treat|and\b|or\b|in\b|on\b|of\b|is\b))[A-Z]"
+    r"|\([cC]\)(?![ \t]+(?i:you|the|to|a|an|any|if|in|all)\b))[^\n]*$"
+)
+PARAGRAPH = r"\n[ \t\r]*\n"
+# The disclaimer and the two clauses of BSD-2-Clause hold none of HINTS.
+BSD_HINT = "redistribution"
+
+
+def _bsd(clauses: int) -> list[str]:
+    """The text by holder or owner, with numbers or other marks, and with and without blank lines between clauses."""
+    head = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    items = [
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ][:clauses]
+    end = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+    out = []
+    for holder in ("HOLDER", "OWNER"):
+        for mark in ("{}. ", "* "):
+            marked = [mark.format(i + 1) + item for i, item in enumerate(items)]
+            for gaps in (["\n\n", "\n\n"], ["\n\n", "\n"], ["\n", "\n"]):
+                out.append(head + gaps[0] + gaps[1].join(marked) + "\n\n" + end.format(holder))
+    return out
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """Names and texts of whole licences: those of KNOWN, and with their usual titles the files
+    in ``texts`` and the BSD texts. Texts with an appendix are also held without it."""
+    out = [(name, text) for name, text in KNOWN if "\n\n" in text]
+    for name, title, clauses in (("BSD-2-Clause", "BSD 2-Clause License", 2), ("BSD-3-Clause", "BSD 3-Clause License", 3)):
+        out += [(name, start + text) for text in _bsd(clauses) for start in ("", title + "\n\n")]
+    for name, file in (("Apache-2.0", "Apache-2.0"), ("GPL-2.0-only", "GPL-2"), ("GPL-3.0-only", "GPL-3"), ("MPL-2.0", "MPL-2.0"), ("BSD-3-Clause", "BSD")):
+        text = resources.files("tidelog.llm").joinpath("texts", f"{file}.txt").read_text()
+        terms = re.match(r"(?s).*END OF TERMS AND CONDITIONS[^\n]*", text)
+        out += [(name, text)] + ([(name, terms[0])] if terms else [])
+    return out
 
 
 def canonical(text: Column) -> Column:
     """Lower case, no copyright lines, one spelling, single blanks for all else but letters and digits."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT, " ")
+    out = F.lower(F.regexp_replace(text, COPYRIGHT, " "))
     for old, new in SPELLINGS:
         out = F.regexp_replace(out, old, new)
     return F.trim(F.regexp_replace(out, "[^a-z0-9]+", " "))
 
 
+def _paragraphs(text: Column) -> Column:
+    """Digests of the canonical paragraphs that are not empty, in order."""
+    made = F.filter(F.transform(F.split(text, PARAGRAPH), canonical), lambda p: p != "")
+    return F.transform(made, lambda p: F.sha2(p, 256))
+
+
+def runs(spark: SparkSession) -> DataFrame:
+    """``digest, license, part, j, size``: every paragraph of the whole texts of several paragraphs."""
+    texts = spark.createDataFrame(whole_texts(), "license string, text string")
+    parted = texts.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license", _paragraphs(F.col("text")).alias("parts")).distinct()
+    cut_ = parted.filter(F.size("parts") > 1).select("digest", "license", F.size("parts").alias("size"), F.xxhash64("parts").alias("way"), F.posexplode("parts").alias("j", "part"))
+    return cut_.select("digest", "license", "part", "way", "j", "size")
+
+
 def digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """``digest, license``, one row per digest."""
-    rows = spark.createDataFrame(known, "license string, text string")
+    """``digest, license``, one row per digest, of ``known`` and the whole texts."""
+    rows = spark.createDataFrame([*known, *whole_texts()], "license string, text string")
     return rows.groupBy(F.sha2(canonical(F.col("text")), 256).alias("digest")).agg(F.min("license").alias("license"))
 
 
@@ -63,8 +120,10 @@ def scan(docs: DataFrame, known: DataFrame, hints: str = HINTS) -> DataFrame:
     digests; ``n_hits`` counts the different units that match, ``whole`` tells whether the
     entire text does, ``licenses`` names what was found, in order. Rows of one ``doc_id``
     (null too) share their hits. Null and empty texts have none, other columns are ignored.
-    Texts without any of ``hints`` can't hold a known text and aren't cut up.
+    A licence of several paragraphs counts as one unit wherever all its paragraphs follow one
+    another. Texts without any of ``hints`` can't hold a known text and aren't cut up.
     """
+    hints = f"{hints}|{BSD_HINT}"
     text = F.col("text")
     cuts = F.concat(F.split(text, r"\n[ \t]*\n"), F.split(text, "\n"))
     units = F.concat(
@@ -78,7 +137,15 @@ def scan(docs: DataFrame, known: DataFrame, hints: str = HINTS) -> DataFrame:
         .select("key", "u.whole", F.sha2(canonical(F.col("u.unit")), 256).alias("digest"))
     )
     # The list of known texts is a parameter of some hundred rows at most, not data.
-    hits = parts.join(F.broadcast(known), "digest").groupBy("key").agg(
+    found = parts.join(F.broadcast(known), "digest").select("key", "whole", "digest", "license")
+    pieces = docs.filter(F.lower(text).rlike(hints)).select(
+        F.struct(F.col("doc_id")).alias("key"), F.xxhash64(text).alias("of"), F.posexplode(_paragraphs(text)).alias("at", "part")
+    )
+    inside = pieces.join(F.broadcast(runs(docs.sparkSession)), "part").groupBy(
+        "key", "of", "digest", "license", "way", "size", (F.col("at") - F.col("j")).alias("start")
+    ).agg(F.count_distinct("j").alias("held")).filter("held = size")
+    found = found.union(inside.select("key", F.lit(False).alias("whole"), "digest", "license"))
+    hits = found.groupBy("key").agg(
         F.max("whole").alias("whole"), F.count_distinct("digest").alias("n_hits"),
         F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),
     )
