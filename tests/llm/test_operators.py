@@ -66,6 +66,13 @@ def test_pii_cases(spark, tagger):
 
 # Token files and BPE
 
+def test_sample_holds_each_text_once(spark):
+    frame = spark.range(4_000).selectExpr("id doc_id", "if(id < 2000, 'a copy of one text', concat('mail x', id, '@host.com')) text")
+    for sample in (1, 50, 10_000):
+        seen = [t for t, _ in pii.labelled(frame, sample)]
+        assert len(set(seen)) == min(sample, 2_001) and max(Counter(seen).values()) <= pii.PER_DOC
+
+
 def test_stream_code_round_trip():
     values = np.array([0, 255, 256, 65_535, 65_536, (1 << 24) - 1, 1 << 24, (1 << 32) - 1] * 3 + [7])
     assert (token_files.unpack(*token_files.pack(values), len(values)) == values).all()

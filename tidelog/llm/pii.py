@@ -106,15 +106,14 @@ def _starts(length: int) -> list[int]:
 
 
 def labelled(docs: DataFrame, sample: int = SAMPLE_DOCS) -> list[tuple[str, list[int]]]:
-    """Windows with tags from the base spans of about ``sample`` documents.
+    """Windows with tags from the base spans of ``sample`` distinct texts, or of all if fewer.
 
-    Documents are chosen by a hash of their text, ``PER_DOC`` windows of each; so what
-    comes to the driver is bounded by ``sample``.
+    The texts of the smallest hashes are taken, ``PER_DOC`` windows of each and each text
+    once; so what comes to the driver is bounded by ``sample``, whatever the copies.
     """
-    share = min(1.0, sample / max(1, docs.count()))
-    chosen = docs.select("text").filter("text is not null").filter(
-        F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)
-    )
+    texts = docs.select("text", F.xxhash64("text").alias("hash_")).filter("text is not null")
+    least = texts.select("hash_").distinct().orderBy("hash_").limit(sample)
+    chosen = texts.join(F.broadcast(least), "hash_", "left_semi").select("text").distinct()
 
     def run(batches):
         for batch in batches:
