@@ -22,8 +22,9 @@ LEAST_SCORE = 0.5
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a language that the labelled ones teach; fill in a missing ``lang``.
 
-    Null texts and texts without a letter go, and so do those of which no language is
-    likely. Repeated rows are judged alike.
+    Null texts and texts without a letter or without any known n-gram go, and so do ties. The
+    score compares the languages learned and is near 1 for almost any longer text, so one in
+    a language that was never learned passes as the nearest. Repeated rows are judged alike.
     """
     model = language.train(docs)
     found = language.identify(docs.select(F.struct("*").alias("row_"), "text"), model, ["row_"])
