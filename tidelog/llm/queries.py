@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import balltree, bpe, imatch, jaccard, language, licenses, mixing, pii, token_files, urlfilter
+from tidelog.llm import balltree, bpe, imatch, jaccard, language, licenses, lines, middle, mixing, pii, token_files, urlfilter, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -19,7 +19,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.op8_mixing,
     "op9_licenses": licenses.op9_licenses,
     "op10_fingerprints": imatch.op10_fingerprints,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_fill_in_middle": middle.op12_fill_in_middle,
+    "op13_line_dedup": lines.op13_line_dedup,
 }
 # The others have no twin: models, vocabularies, connected components and hashes that the
 # checking engine lacks. They are tested by brute force, round trip or held-out accuracy.
-ORACLES = {"op3_topk": balltree.SQL, "op4_url_filter": urlfilter.SQL, "op8_mixing": mixing.SQL, "op9_licenses": licenses.SQL}
+ORACLES = {
+    "op3_topk": balltree.SQL, "op4_url_filter": urlfilter.SQL, "op8_mixing": mixing.SQL, "op9_licenses": licenses.SQL,
+    "op12_fill_in_middle": middle.SQL, "op13_line_dedup": lines.SQL,
+}
