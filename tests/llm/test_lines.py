@@ -12,7 +12,7 @@ from cases import documents, empty, long_text
 from tidelog.llm import lines
 
 
-def plain(data, min_docs, min_chars, keep_first):
+def plain(data, min_docs, min_chars):
     """``(doc_id, text) -> kept text`` by dictionaries; rows of equal id and text share a place."""
     docs, places = defaultdict(int), defaultdict(set)
     key = lambda line: "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
@@ -59,7 +59,7 @@ def test_common_lines_go(spark, parts, min_docs, min_chars):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 4)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    want, _, _ = plain(data, min_docs, min_chars, False)
+    want, _, _ = plain(data, min_docs, min_chars)
     assert len(got) == len(data)
     for r in got:
         left = want[r["doc_id"], r["text"]]
@@ -67,11 +67,11 @@ def test_common_lines_go(spark, parts, min_docs, min_chars):
         assert (r["n_lines"], r["n_dropped"]) == (len(left), left.count(None))
 
 
-@pytest.mark.parametrize("parts", [1, 25])
+@pytest.mark.parametrize("width", [1, 25])
 @pytest.mark.parametrize("min_docs", [1, 5])
-def test_first_occurrences_stay(spark, parts, min_docs):
+def test_first_occurrences_stay(spark, width, min_docs):
     data = rows(8)
-    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.shuffle.partitions", width)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         frame = spark.createDataFrame(data, "doc_id long, text string").withColumn("h", F.xxhash64("text"))
@@ -80,11 +80,11 @@ def test_first_occurrences_stay(spark, parts, min_docs):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 4)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    _, gone, key = plain(data, min_docs, 1, False)
+    _, gone, key = plain(data, min_docs, 1)
     order = lambda g: (g[0] is not None, g[0] or 0, hashes[g[0], g[1]], g[2])
-    first = {}
+    first, parts = {}, {text: (text or "").split("\n") for _, text in data}
     for g in sorted(gone, key=order):
-        first.setdefault(key((g[1] or "").split("\n")[g[2]]), g)
+        first.setdefault(key(parts[g[1]][g[2]]), g)
     want = {(g[0], hashes[g[0], g[1]], g[2]) for g in gone - set(first.values())}
     assert {(r["doc_id"], r["text_hash"], int(p)) for r in got for p in np.flatnonzero(bits(r) == 0)} == want
 

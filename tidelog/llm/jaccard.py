@@ -3,8 +3,8 @@
 Two sets of sizes a and b reach the threshold only if they differ in at most
 ``(a + b) * (100 - percent) / (100 + percent)`` elements. The work is dealt out by that
 fact: the hash range is cut into more parts than there can be differences, so that linked
-sets agree on the whole content of some part. Sets that agree on a part are put in the same
-cell, and the inverted lists of a cell answer all its queries with DivideSkip: the short
+sets agree on the whole content of some part. Sets that agree on as many parts as a link
+takes are put in the same cell, and the inverted lists of a cell answer all its queries with DivideSkip: the short
 lists are merged, the long ones probed by binary search. No link is lost, and only sets
 that may have a link are ever moved.
 """
@@ -14,7 +14,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -54,7 +54,7 @@ class Levels:
     """Size classes ``low..high``; linked sets are in one class or in neighbouring ones."""
 
     def __init__(self, percent: int):
-        self.percent, self.low, self.parts, self.spare, self.need = percent, [1], [], [], []
+        self.percent, self.low, self.parts, self.need = percent, [1], [], []
         self._extend(1)
 
     def high(self, size: int) -> int:
@@ -67,7 +67,6 @@ class Levels:
             most = 2 * high * (100 - self.percent) // (100 + self.percent)
             need, spare = self._spare(self.low[-1], most)
             self.parts.append(most + 1 + spare)
-            self.spare.append(spare)
             self.need.append(need)
             self.low.append(high + 1)
 
@@ -99,10 +98,10 @@ class Levels:
     def signatures(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One hash for the content of each part that is not weak, that is, holds enough.
 
-        Linked sets agree on more than ``spare`` parts, so on one that is not weak unless
-        more than ``spare`` are; a set with that many weak parts gives those as well. With
-        each hash goes its level and how many hashes of that level a set must share with
-        others to be linked at all: all agreeing parts but the weak ones.
+        Linked sets differ in at most as many parts as elements, which their sizes bound, so
+        they agree on all others, and on at least that many that are not weak less the weak
+        ones. Where that leaves none, the weak parts are given as well. With each hash goes its
+        level and how many hashes of that level a set must share with a partner.
         """
         mixed = mix(shingles)
         upper = shingles >> np.uint64(32)
@@ -114,12 +113,15 @@ class Levels:
             strong = np.diff(np.append(starts, len(part))) >= self.need[level]
             seed = np.uint64(level << 32)
             found = mix(np.add.reduceat(mixed, starts) ^ mix(part[starts] + seed))
-            weak = parts - int(strong.sum())
-            if weak > self.spare[level]:
+            size = len(shingles)
+            partner = min(self.high(size), self.high(self.low[level]))
+            differ = (size + partner) * (100 - self.percent) // (100 + self.percent)
+            least = int(strong.sum()) - differ
+            if least < 1:
                 found = np.append(found, mix(np.setdiff1d(np.arange(parts, dtype=np.uint64), part[starts]) + seed))
                 least = 1
             else:
-                found, least = found[strong], self.spare[level] - weak + 1
+                found = found[strong]
             out.append(found)
             tags.append(np.full(len(found), level * MOST + min(least, MOST - 1), np.int32))
         return np.concatenate(out), np.concatenate(tags)
@@ -143,7 +145,7 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def meetings(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Edges ``u, v`` between sets that agree on a part; equal sets count once a task.
+    """``sig, node, tag``: the hashes that sets share; equal sets count once a task.
 
     A set that shares fewer hashes with others than a link takes has no link, and leaves.
     """
@@ -170,8 +172,25 @@ def meetings(docs: DataFrame, words: int, percent: int) -> DataFrame:
     for _ in range(ROUNDS):
         enough = shared.groupBy("node", "tag").count().filter(F.col("count") >= F.col("tag") % MOST).select("node", "tag")
         shared = cut(_shared(shared.join(enough, ["node", "tag"])))
-    order = Window.partitionBy("sig").orderBy("node")
-    return shared.withColumn("u", F.first("node").over(order)).filter("u <> node").select("u", F.col("node").alias("v")).distinct()
+    return shared
+
+
+def cells(shared: DataFrame) -> DataFrame:
+    """``node, cell``: linked sets are in one cell.
+
+    Sets that have a hash in common are put together first. That chains sets which have a
+    common phrase here and another one there, so the hashes of each such group are then
+    searched for pairs that share as many of one level as both sets need for a link, and only
+    those stay together. Hashes are a small part of the shingles.
+    """
+    least = shared.groupBy("sig").agg(F.min("node").alias("u"))
+    edges = shared.join(least, "sig").filter("u <> node").select("u", F.col("node").alias("v")).distinct()
+    loose = cut(components(edges).select("node", F.col("root").alias("cell")))
+    items = shared.join(loose, "node").groupBy("cell", "node", "tag").agg(F.collect_list("sig").alias("sigs"))
+    placed = _blocks(cut(items.withColumn("n", F.size("sigs"))))
+    dealt = _paired(placed.select("cell", "node", "tag", "sigs", "blocks", "block"))
+    close = dealt.mapInArrow(_meet, "u long, v long")
+    return components(close.distinct()).select("node", F.col("root").alias("cell"))
 
 
 def _shared(marks: DataFrame) -> DataFrame:
@@ -198,75 +217,122 @@ def _merge(lists: list[np.ndarray], sets: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array([k for k, _ in runs], np.int64), np.array([n for _, n in runs], np.int64)
 
 
-def search(found: list[np.ndarray], percent: int, split: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
-    """Each set's position with the positions of all sets it is linked to, every pair once.
+class Lists:
+    """Inverted lists of the sets from position ``first`` on."""
 
-    With ``split`` only links across that position are looked for: those before it are
-    queries, those from it on are indexed. Otherwise all are both, and the later set of a
-    pair is given with the earlier. Sets without a link are left out.
-    """
-    first = split or 0
-    sizes = np.array([len(x) for x in found])
-    owner = np.repeat(np.arange(first, len(found)), sizes[first:])
-    tokens = np.concatenate(found[first:]) if len(found) > first else np.empty(0, np.uint64)
-    order = np.argsort(tokens, kind="stable")
-    tokens, owner = tokens[order], owner[order]
-    names, starts = np.unique(tokens, return_index=True)
-    starts = np.append(starts, len(tokens))
-    for query in range(len(found) if split is None else split):
-        shingles, size = found[query], len(found[query])
-        least = -(-size * percent // 100)  # any partner shares as many
-        spot = np.minimum(np.searchsorted(names, shingles), max(len(names) - 1, 0))
-        known = spot[names[spot] == shingles] if len(names) else spot[:0]
+    def __init__(self, found: list[np.ndarray], first: int = 0):
+        owner = np.repeat(np.arange(first, len(found)), [len(x) for x in found[first:]])
+        tokens = np.concatenate(found[first:]) if len(found) > first else np.empty(0, np.uint64)
+        order = np.argsort(tokens, kind="stable")
+        self.sets, self.owner = len(found), owner[order]
+        self.names, starts = np.unique(tokens[order], return_index=True)
+        self.starts = np.append(starts, len(tokens))
+
+    def sharing(self, tokens: np.ndarray, least: int, fits: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The sets that share at least ``least`` (one or more) of the tokens and fit, and how many."""
+        names, starts, owner = self.names, self.starts, self.owner
+        spot = np.minimum(np.searchsorted(names, tokens), max(len(names) - 1, 0))
+        known = spot[names[spot] == tokens] if len(names) else spot[:0]
         if len(known) < least:
-            continue
+            return _NONE, _NONE
         lengths = starts[known + 1] - starts[known]
         by_length = known[np.argsort(lengths, kind="stable")]
         longest = int(lengths.max())
         skipped = min(least - 1, int(least / (MU * np.log2(longest + 1) + 1)), len(known) - 1)
         short, long = by_length[: len(known) - skipped], by_length[len(known) - skipped :]
-        ids, counts = _merge([owner[starts[k] : starts[k + 1]] for k in short], len(found))
-        fits = (counts >= least - skipped) & (sizes[ids] * percent <= size * 100) & (size * percent <= sizes[ids] * 100)
-        fits &= ids > query if split is None else True
-        ids, counts = ids[fits], counts[fits]
+        ids, counts = _merge([owner[starts[k] : starts[k + 1]] for k in short], self.sets)
+        near = (counts >= least - skipped) & fits(ids)
+        ids, counts = ids[near], counts[near]
         if not len(ids):
-            continue
+            return ids, counts
         members = [owner[starts[k] : starts[k + 1]] for k in long]
         if len(ids) * len(long) > sum(map(len, members)):
             # Many candidates: reading the lists is less work than as many probes.
-            counts = counts + np.bincount(np.concatenate(members), minlength=len(found))[ids]
+            counts = counts + np.bincount(np.concatenate(members), minlength=self.sets)[ids]
         else:
             for one in members:
                 at = np.minimum(np.searchsorted(one, ids), len(one) - 1)
                 counts = counts + (one[at] == ids)
+        return ids[counts >= least], counts[counts >= least]
+
+
+_NONE = np.empty(0, np.int64)
+
+
+def search(found: list[np.ndarray], percent: int, split: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """Each set's position with the positions of all sets it is linked to, every pair once.
+
+    With ``split`` only links across that position are looked for: those before it are
+    queries, those from it on are indexed. Otherwise all are both, and the later set of a
+    pair is given with the earlier. Sets without a link are left out.
+    """
+    sizes, lists = np.array([len(x) for x in found]), Lists(found, split or 0)
+    for query in range(len(found) if split is None else split):
+        size = len(found[query])
+        fits = lambda ids: (sizes[ids] * percent <= size * 100) & (size * percent <= sizes[ids] * 100) & (split is not None or ids > query)
+        # Any partner shares so many.
+        ids, counts = lists.sharing(found[query], -(-size * percent // 100), fits)
         others = ids[100 * counts >= percent * (size + sizes[ids] - counts)]
         if len(others):
             yield query, others
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, dict]]:
-    """Rows of each block pair; they come sorted, and one pair is held at a time."""
+def close(found: list[np.ndarray], least: np.ndarray, split: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """As ``search``, for sets that share as many as ``least`` of each of the two says."""
+    lists = Lists(found, split or 0)
+    for query in range(len(found) if split is None else split):
+        ids, counts = lists.sharing(found[query], int(least[query]), lambda ids: ids > query if split is None else np.ones(len(ids), bool))
+        others = ids[counts >= least[ids]]
+        if len(others):
+            yield query, others
+
+
+def _groups(links: Iterator[tuple[int, np.ndarray]], count: int) -> np.ndarray:
+    """The first position that each position is connected to."""
+    label = np.arange(count)
+    for query, others in links:
+        joined = np.unique(label[np.append(others, query)])
+        if len(joined) > 1:
+            label[np.isin(label, joined)] = joined[0]
+    return label
+
+
+def _cells(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], names: int) -> Iterator[tuple[tuple, dict]]:
+    """Rows of each block pair by their first ``names`` columns; they come sorted, and one pair is held at a time."""
     key, rows = None, {}
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("cell", "i", "j", "side", "node", "copies", "shingles")]
-        for cell, i, j, side, node, copies, shingles in zip(*columns):
-            if (cell, i, j) != key:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("cell", "i", "j")))
+        for at, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in columns))):
+            if at != key:
                 if rows:
                     yield key, rows
-                key, rows = (cell, i, j), {}
-            rows[node] = side, copies, shingles
+                key, rows = at, {}
+            rows[row[:names]] = row[names:]
     if rows:
         yield key, rows
 
 
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of each block pair that share enough hashes, each with the first it is connected to."""
+    for (_, i, j), rows in _cells(batches, ("node", "tag", "side", "sigs"), 2):
+        named = sorted(rows.items(), key=lambda r: (r[1][0], r[0]))
+        split = None if i == j else sum(side == 0 for _, (side, _) in named)
+        least = np.array([max(tag % MOST, 1) for (_, tag), _ in named])
+        found = [np.sort(np.array(sigs, np.int64).view(np.uint64)) for _, (_, sigs) in named]
+        label = _groups(close(found, least, split), len(named))
+        nodes = np.array([node for (node, _), _ in named], np.int64)
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[label[moved]])], ["u", "v"])
+
+
 def _found(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, Iterator[tuple[int, np.ndarray]]]]:
     """Sets, their numbers of rows, and their links, of each block pair."""
-    for (_, i, j), rows in _cells(batches):
+    for (_, i, j), rows in _cells(batches, ("node", "side", "copies", "shingles"), 1):
         # Queries of the first block before the second; inside one block in order of size.
         named = sorted(rows.items(), key=lambda r: (r[1][0], len(r[1][2]), r[0]))
         split = None if i == j else sum(side == 0 for _, (side, _, _) in named)
         links = search([np.frombuffer(s, np.uint64) for _, (_, _, s) in named], percent, split)
-        yield np.array([n for n, _ in named], np.int64), np.array([c for _, (_, c, _) in named], np.int64), links
+        yield np.array([n for (n,), _ in named], np.int64), np.array([c for _, (_, c, _) in named], np.int64), links
 
 
 def _connect(percent: int):
@@ -274,13 +340,15 @@ def _connect(percent: int):
 
     def run(batches):
         for nodes, copies, links in _found(batches, percent):
-            label, total = np.arange(len(nodes)), np.zeros(len(nodes), np.int64)
-            for query, others in links:
-                total[query] += copies[others].sum()
-                total[others] += copies[query]
-                joined = np.unique(label[np.append(others, query)])
-                if len(joined) > 1:
-                    label[np.isin(label, joined)] = joined[0]
+            total = np.zeros(len(nodes), np.int64)
+
+            def counted():
+                for query, others in links:
+                    total[query] += copies[others].sum()
+                    total[others] += copies[query]
+                    yield query, others
+
+            label = _groups(counted(), len(nodes))
             linked = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes[linked]), pa.array(nodes[label[linked]]), pa.array(total[linked])], ["u", "v", "links"]
@@ -300,15 +368,30 @@ def _pair(percent: int):
     return run
 
 
-def _spread(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """The sets of the cells that ``members (cell, node, doc_id, h, copies, n)`` make, dealt to
-    pairs of blocks. Any two sets of a cell meet in just one pair."""
+def _blocks(members: DataFrame) -> DataFrame:
+    """``members (cell, node, n, ...)`` with the number of blocks of their cell and their own."""
     totals = members.groupBy("cell").agg(F.count("*").alias("sets"), F.sum("n").alias("all"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int")
-    placed = members.join(totals, "cell").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "h", "cell", "node", "copies",
-        blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
+    both = members.join(totals, "cell").withColumn("blocks", blocks)
+    return both.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+
+def _paired(placed: DataFrame) -> DataFrame:
+    """Every row once for each block of its cell, dealt by pairs of blocks ``i <= j``; ``side`` is 1 in the second.
+
+    Any two rows of a cell meet in just one pair.
+    """
+    rest = [c for c in placed.columns if c not in ("cell", "blocks", "block")]
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), *rest,
     )
+    return spread.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+
+
+def _spread(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """The sets of the cells that ``members (cell, node, doc_id, h, copies, n)`` make, dealt to pairs of blocks."""
+    placed = _blocks(members).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "h", "cell", "node", "copies", "blocks", "block")
 
     def run(batches):
         for batch in batches:
@@ -328,12 +411,7 @@ def _spread(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
     shipped = texts.join(placed.hint("shuffle_hash"), ["key", "h"]).select("cell", "node", "copies", "blocks", "block", "text").mapInArrow(
         run, "cell long, node long, copies long, blocks int, block int, shingles binary"
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    spread = shipped.withColumn("other", other).select(
-        "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "copies", "shingles",
-    )
-    return spread.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+    return _paired(shipped)
 
 
 def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -343,11 +421,8 @@ def _classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
         F.min("doc_id").alias("doc_id"), F.coalesce(F.min_by("h", "doc_id"), F.min("h")).alias("h"),
         F.first("n").alias("n"), F.count("*").alias("copies"),
     )
-    cells = cut(components(meetings(docs, words, percent)))
-    members = cut(
-        cells.select(F.col("node").alias("d1"), F.col("root").alias("cell"))
-        .join(classes, "d1").select("cell", F.col("d1").alias("node"), "doc_id", "h", "copies", "n")
-    )
+    placed = cells(meetings(docs, words, percent)).withColumnRenamed("node", "d1")
+    members = cut(placed.join(classes, "d1").select("cell", F.col("d1").alias("node"), "doc_id", "h", "copies", "n"))
     return named, classes, _spread(docs, members, words)
 
 
