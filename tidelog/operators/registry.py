@@ -20,20 +20,19 @@ WIDTH = 1 << 16
 # Type changes that keep the meaning of old bytes (from, to).
 SAFE_CHANGES = [("string", "bytes"), ("bytes", "string"), ("int32", "int64"), ("int64", "int32")]
 TYPES = [
-    "double", "float", "int32", "int64", "uint32", "uint64", "sint32", "sint64",
-    "bool", "enum", "string", "bytes", "message",
+    "double", "float", "int32", "int64", "uint32", "uint64", "sint32", "sint64", "fixed32", "fixed64",
+    "sfixed32", "sfixed64", "bool", "enum", "string", "bytes", "message", "timestamp",
 ]
+RULES = "old_type string, new_type string, backward boolean, forward boolean"
 MODES = [
     "BACKWARD", "FORWARD", "FULL", "TRANSITIVE_BACKWARD", "TRANSITIVE_FORWARD", "TRANSITIVE_FULL", "NONE",
 ]
 
 
 def type_rules(spark: SparkSession) -> DataFrame:
-    """SCH-5: the changes that are safe; a one-sided rule would set only one direction."""
-    return spark.createDataFrame(
-        [(a, b, True, True) for a, b in SAFE_CHANGES],
-        "old_type string, new_type string, backward boolean, forward boolean",
-    )
+    """SCH-5: the changes that are safe. A one-sided rule sets one direction only: ``backward``
+    says that new readers understand old bytes, ``forward`` that old readers understand new ones."""
+    return spark.createDataFrame([(a, b, True, True) for a, b in SAFE_CHANGES], RULES)
 
 
 def type_change(changes: DataFrame, rules: DataFrame | None = None) -> DataFrame:
@@ -128,12 +127,52 @@ def modes(config: DataFrame, global_mode: str | None = None) -> DataFrame:
     return config.select("subject", F.coalesce("mode", F.lit(global_mode), F.lit("BACKWARD")).alias("mode"))
 
 
-def field_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+def ranked(registry: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``subject, version, schema_id, rank`` of the live versions, ranked from 0 without holes.
+
+    Numbers of dropped versions do not come back, so the version before another one is the
+    live version with the rank before, whatever its number.
+    """
+    kept = live(registry).select("subject", "version", "schema_id")
+    return number_rows(kept, ["subject"], ["version"], "rank", unique="version", width=width)
+
+
+def lifetimes(registry: DataFrame, fields: DataFrame, width: int = WIDTH) -> DataFrame:
+    """SCH-4: the runs of live versions in which a number carries one name.
+
+    ``subject, field_no, name, first_version, last_version, first_rank, last_rank, reused``.
+    A run ends where the next live version does not declare the number or declares it with
+    another name. ``reused``: the run begins after a pause of the number that had another
+    name before, so bytes of then would be read as something else.
+    """
+    rows = ranked(registry, width).join(fields.where(~F.col("reserved")), "schema_id").select(
+        "subject", "field_no", "name", "version", "rank", F.struct("rank", "name").alias("_row")
+    )
+    top = registry.agg(F.max("version")).first()[0] or 0
+    settle = cut if top >= width else (lambda df: df)
+    history = {"_prev": ("last", "_row"), "_low": ("min", "name"), "_high": ("max", "name")}
+    seen = before(settle(rows), ["subject", "field_no"], "rank", history, width, top=top)
+    paused = F.col("_prev.rank") < F.col("rank") - 1
+    starts = F.col("_prev").isNull() | paused | (F.col("_prev.name") != F.col("name"))
+    other = (F.col("_low") != F.col("name")) | (F.col("_high") != F.col("name"))
+    marked = seen.withColumn("_starts", starts.cast("int")).withColumn("_reused", F.coalesce(paused & other, F.lit(False)))
+    marked = marked.drop("_prev", "_low", "_high", "_row")
+    runs = before(settle(marked), ["subject", "field_no"], "rank", {"_run": ("sum", "_starts")}, width, inclusive=True, top=top)
+    return runs.groupBy("subject", "field_no", "_run").agg(
+        F.min_by("name", "rank").alias("name"), F.min("version").alias("first_version"), F.max("version").alias("last_version"),
+        F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"), F.bool_or("_reused").alias("reused"),
+    ).drop("_run")
+
+
+def field_diff(old: DataFrame, new: DataFrame, keys: list[str], reused: DataFrame | None = None) -> DataFrame:
     """SCH-4: what happened to each field between two versions.
 
     ``old`` and ``new`` carry ``keys`` (such as the subject), ``field_no``, ``name`` and
     ``type``. A number that now belongs to a name the old version had elsewhere, or whose
-    name has moved elsewhere, is ``renumbered``.
+    name has moved elsewhere, is ``renumbered``; a number that both versions have is
+    ``renamed`` and ``retyped`` each by itself. ``reused`` names the numbers (``keys``,
+    ``field_no``) that came back with another name since the old version, as ``reused_since``
+    finds them. ``change`` is the first flag that is set.
     """
     at = [*keys, "field_no"]
     a = old.select(*at, F.col("name").alias("old_name"), F.col("type").alias("old_type"))
@@ -141,20 +180,42 @@ def field_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     came = old.select(*keys, F.col("name").alias("new_name"), F.col("field_no").alias("moved_from"))
     went = new.select(*keys, F.col("name").alias("old_name"), F.col("field_no").alias("moved_to"))
     both = a.join(b, at, "full").join(came, [*keys, "new_name"], "left").join(went, [*keys, "old_name"], "left")
+    if reused is None:
+        both = both.withColumn("_back", F.lit(None).cast("boolean"))
+    else:
+        both = both.join(reused.select(*at, F.lit(True).alias("_back")).distinct(), at, "left")
     moved = (F.col("moved_from") != F.col("field_no")) | (F.col("moved_to") != F.col("field_no"))
-    change = (
-        F.when(F.coalesce(moved, F.lit(False)), "renumbered")
-        .when(F.col("old_name").isNull(), "added")
-        .when(F.col("new_name").isNull(), "removed")
-        .when(F.col("old_type") != F.col("new_type"), "retyped")
-        .when(F.col("old_name") != F.col("new_name"), "renamed")
-        .otherwise("same")
+    flags = {
+        "reused": F.col("_back") & F.col("new_name").isNotNull(),
+        "renumbered": moved,
+        "added": F.col("old_name").isNull(),
+        "removed": F.col("new_name").isNull(),
+        "retyped": F.col("old_type") != F.col("new_type"),
+        "renamed": F.col("old_name") != F.col("new_name"),
+    }
+    flags = {name: F.coalesce(flag, F.lit(False)) for name, flag in flags.items()}
+    change = F.lit("same")
+    for name in ("renamed", "retyped", "removed", "added", "renumbered"):
+        change = F.when(flags[name], name).otherwise(change)
+    return both.select(
+        *at, "old_name", "new_name", "old_type", "new_type", "moved_from", "moved_to", change.alias("change"),
+        *[flag.alias(name) for name, flag in flags.items()],
     )
-    return both.select(*at, "old_name", "new_name", "old_type", "new_type", "moved_from", "moved_to", change.alias("change"))
 
 
-def _declared(registry: DataFrame, fields: DataFrame) -> DataFrame:
-    return live(registry).select("subject", "version", "schema_id").join(fields, "schema_id")
+def reused_since(runs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``subject, field_no`` of the numbers that came back with another name after ``old_version``.
+
+    ``runs`` are ``lifetimes``; ``pairs(subject, old_version, new_version)``. The run that
+    holds in the new version must have begun after the old one.
+    """
+    held = runs.where("reused").join(pairs, "subject")
+    now = (F.col("first_version") > F.col("old_version")) & F.col("new_version").between(F.col("first_version"), F.col("last_version"))
+    return held.where(now).select("subject", "field_no")
+
+
+def _declared(registry: DataFrame, fields: DataFrame, width: int = WIDTH) -> DataFrame:
+    return ranked(registry, width).join(fields, "schema_id")
 
 
 def _bit(kind: str) -> Column:
@@ -162,34 +223,49 @@ def _bit(kind: str) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(kind)), F.lit(0)).cast("bigint")
 
 
-def _safe_mask(kind: str) -> Column:
-    masks = {t: 1 << i for i, t in enumerate(TYPES)}
-    for old, new in SAFE_CHANGES:
-        masks[new] |= 1 << TYPES.index(old)
+def _safe_masks(rules: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
+    """For each new type, a bit for every old type that it can stand in for: backward, forward.
+
+    Rules of types that no message has do not count, so at most one per pair of types comes
+    to the driver.
+    """
+    known = rules.where(F.col("old_type").isin(TYPES) & F.col("new_type").isin(TYPES))
+    agreed = known.groupBy("old_type", "new_type").agg(F.bool_or("backward").alias("b"), F.bool_or("forward").alias("f"))
+    backward, forward = ({t: 1 << i for i, t in enumerate(TYPES)} for _ in range(2))
+    for row in agreed.collect():
+        bit = 1 << TYPES.index(row["old_type"])
+        backward[row["new_type"]] |= bit if row["b"] else 0
+        forward[row["new_type"]] |= bit if row["f"] else 0
+    return backward, forward
+
+
+def _mask(masks: dict[str, int], kind: str) -> Column:
     pairs = [F.lit(x) for t, m in masks.items() for x in (t, m)]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(kind)), F.lit(0)).cast("bigint")
 
 
-def field_history(registry: DataFrame, fields: DataFrame, width: int = WIDTH) -> DataFrame:
+def field_history(registry: DataFrame, fields: DataFrame, width: int = WIDTH, rules: DataFrame | None = None) -> DataFrame:
     """Each declared field of each version with the faults it has against earlier versions.
 
-    ``*_prev`` compares with the version just before, ``*_any`` with all earlier ones.
+    ``*_prev`` compares with the live version just before, ``*_any`` with all earlier ones.
     Type faults use a bit per type: the types a number ever had, against those its new
-    type can stand in for.
+    type can stand in for. ``type_*`` is a fault for new readers of old bytes, ``back_type_*``
+    one for old readers of new bytes.
     """
-    rows = _declared(registry, fields).withColumn("_is_reserved", F.col("reserved").cast("int"))
+    masks = _safe_masks(type_rules(registry.sparkSession) if rules is None else rules)
+    rows = _declared(registry, fields, width).withColumn("_is_reserved", F.col("reserved").cast("int"))
     rows = (
         rows.withColumn("_type", F.when(~F.col("reserved"), _bit("type")).otherwise(F.lit(0)))
         .withColumn("_name", F.when(~F.col("reserved"), F.col("name")))
         .withColumn("_no", F.when(~F.col("reserved"), F.col("field_no")))
-        .withColumn("_then", F.when(~F.col("reserved"), F.col("version")))
-        .withColumn("_row", F.struct("version", "reserved", "_type", "name"))
+        .withColumn("_then", F.when(~F.col("reserved"), F.col("rank")))
+        .withColumn("_row", F.struct("rank", "reserved", "_type", "name"))
     )
     top = registry.agg(F.max("version")).first()[0] or 0
     # With carrying, each pass reads its input twice: write it down, do not compute it again.
     settle = cut if top >= width else (lambda df: df)
     by_number = before(
-        settle(rows), ["subject", "field_no"], "version",
+        settle(rows), ["subject", "field_no"], "rank",
         {
             "_prev": ("last", "_row"),
             "_types": ("bit_or", "_type"),
@@ -200,16 +276,16 @@ def field_history(registry: DataFrame, fields: DataFrame, width: int = WIDTH) ->
         },
         width, top=top,
     )
-    live = by_number.where(~F.col("reserved")).withColumn("_place", F.struct("version", "field_no"))
+    live = by_number.where(~F.col("reserved")).withColumn("_place", F.struct("rank", "field_no"))
     by_name = before(
-        settle(live), ["subject", "name"], "version",
+        settle(live), ["subject", "name"], "rank",
         {"_placed": ("last", "_place"), "_low_no": ("min", "_no"), "_high_no": ("max", "_no")},
         width, top=top,
     )
-    just_before = F.col("version") - 1
-    prev_here = F.col("_prev.version") == just_before
+    just_before = F.col("rank") - 1
+    prev_here = F.col("_prev.rank") == just_before
     prev_live = prev_here & ~F.col("_prev.reserved")
-    unsafe = F.bitwise_not(_safe_mask("type"))
+    backward, forward = (F.bitwise_not(_mask(m, "type")) for m in masks)
     other_name = (F.col("_low_name") != F.col("name")) | (F.col("_high_name") != F.col("name"))
 
     def yes(c: Column) -> Column:
@@ -217,9 +293,11 @@ def field_history(registry: DataFrame, fields: DataFrame, width: int = WIDTH) ->
 
     return by_name.select(
         "subject", "version", "schema_id", "field_no", "name", "type",
-        yes(prev_live & (F.col("_prev._type").bitwiseAND(unsafe) != 0)).alias("type_prev"),
-        yes(F.col("_types").bitwiseAND(unsafe) != 0).alias("type_any"),
-        yes((F.col("_placed.version") == just_before) & (F.col("_placed.field_no") != F.col("field_no"))).alias("moved_prev"),
+        yes(prev_live & (F.col("_prev._type").bitwiseAND(backward) != 0)).alias("type_prev"),
+        yes(F.col("_types").bitwiseAND(backward) != 0).alias("type_any"),
+        yes(prev_live & (F.col("_prev._type").bitwiseAND(forward) != 0)).alias("back_type_prev"),
+        yes(F.col("_types").bitwiseAND(forward) != 0).alias("back_type_any"),
+        yes((F.col("_placed.rank") == just_before) & (F.col("_placed.field_no") != F.col("field_no"))).alias("moved_prev"),
         yes((F.col("_low_no") != F.col("field_no")) | (F.col("_high_no") != F.col("field_no"))).alias("moved_any"),
         yes(prev_here & F.col("_prev.reserved")).alias("reused_prev"),
         (
@@ -230,11 +308,13 @@ def field_history(registry: DataFrame, fields: DataFrame, width: int = WIDTH) ->
     )
 
 
-def compat(registry: DataFrame, fields: DataFrame, width: int = WIDTH) -> DataFrame:
-    """SCH-6: verdict of every version under every mode, one row per version.
+def compat(registry: DataFrame, fields: DataFrame, width: int = WIDTH, rules: DataFrame | None = None) -> DataFrame:
+    """SCH-6: verdict of every version under every mode, one row per live version.
 
-    Retyping to an unsafe type, moving a name to another number, and reusing a number
-    fail; renames and deletions do not. ``source_break`` says that code would not compile.
+    Each is compared with the live version before it, or with all earlier live ones; fields
+    of dropped versions do not count. Moving a name to another number and reusing a number
+    fail in both directions, retyping in the directions that ``rules`` (SCH-5) does not
+    allow; renames and deletions do not. ``source_break`` says that code would not compile.
     """
     def fault(*names: str) -> Column:
         hit = F.lit(False)
@@ -242,19 +322,21 @@ def compat(registry: DataFrame, fields: DataFrame, width: int = WIDTH) -> DataFr
             hit = hit | F.col(n)
         return F.coalesce(F.bool_or(hit), F.lit(False))
 
-    seen = field_history(registry, fields, width).groupBy("subject", "version").agg(
-        fault("type_prev", "moved_prev", "reused_prev").alias("_prev"),
-        fault("type_prev", "moved_prev", "reused_prev", "type_any", "moved_any", "reused_any").alias("_any"),
+    prev, any_ = ["moved_prev", "reused_prev"], ["moved_prev", "reused_prev", "moved_any", "reused_any"]
+    seen = field_history(registry, fields, width, rules).groupBy("subject", "version").agg(
+        fault("type_prev", *prev).alias("_prev"), fault("back_type_prev", *prev).alias("_back_prev"),
+        fault("type_prev", "type_any", *any_).alias("_any"), fault("back_type_prev", "back_type_any", *any_).alias("_back_any"),
         fault("reused_prev", "reused_any").alias("number_reused"),
         fault("renamed").alias("source_break"),
     )
     registry = live(registry)
     no = F.lit(False)
-    ok_prev, ok_any = ~F.coalesce("_prev", no), ~F.coalesce("_any", no)
+    ok = {c: ~F.coalesce(c, no) for c in ("_prev", "_back_prev", "_any", "_back_any")}
     return registry.select("subject", "version", "schema_id").join(seen, ["subject", "version"], "left").select(
         "subject", "version", "schema_id",
-        ok_prev.alias("backward"), ok_prev.alias("forward"), ok_prev.alias("full"),
-        ok_any.alias("transitive_backward"), ok_any.alias("transitive_forward"), ok_any.alias("transitive_full"),
+        ok["_prev"].alias("backward"), ok["_back_prev"].alias("forward"), (ok["_prev"] & ok["_back_prev"]).alias("full"),
+        ok["_any"].alias("transitive_backward"), ok["_back_any"].alias("transitive_forward"),
+        (ok["_any"] & ok["_back_any"]).alias("transitive_full"),
         F.lit(True).alias("none"),
         F.coalesce("number_reused", no).alias("number_reused"),
         F.coalesce("source_break", no).alias("source_break"),

@@ -35,27 +35,42 @@ def compat_mode(spark, sf):
 
 
 def _ends(spark, sf):
-    """Live fields of the first and of the newest version of every subject."""
+    """Live fields of the first and of the newest version of every subject, and which versions those are."""
     r = d.registry(spark, sf).select("subject", "version", "schema_id")
     edge = r.groupBy("subject").agg(
-        F.min_by("schema_id", "version").alias("first"), F.max_by("schema_id", "version").alias("newest")
+        F.min_by("schema_id", "version").alias("first"), F.max_by("schema_id", "version").alias("newest"),
+        F.min("version").alias("old_version"), F.max("version").alias("new_version"),
     )
     live = d.fields(spark, sf).where(~F.col("reserved")).drop("reserved")
     old = edge.join(live, edge["first"] == live["schema_id"]).select("subject", "field_no", "name", "type")
     new = edge.join(live, edge["newest"] == live["schema_id"]).select("subject", "field_no", "name", "type")
-    return old, new
+    return old, new, edge.select("subject", "old_version", "new_version")
 
 
 ENDS = f"""{s.REGISTRY}, edge AS (
-  SELECT subject, arg_min(schema_id, version) AS first, arg_max(schema_id, version) AS newest FROM registry GROUP BY subject),
+  SELECT subject, arg_min(schema_id, version) AS first, arg_max(schema_id, version) AS newest, max(version) AS newest_version
+  FROM registry GROUP BY subject),
 live AS (SELECT * FROM fields WHERE NOT reserved),
 old AS (SELECT subject, field_no, name, type FROM edge JOIN live ON first = schema_id),
 new AS (SELECT subject, field_no, name, type FROM edge JOIN live ON newest = schema_id)"""
 
+# A number of the newest version that was not declared in some version after the first, and had
+# another name before that pause.
+BACK = """kept AS (SELECT d.subject, d.version, d.field_no, d.name FROM declared d WHERE NOT d.reserved),
+now AS (SELECT k.* FROM kept k JOIN edge e ON k.subject = e.subject AND k.version = e.newest_version),
+run AS (
+  SELECT n.*, coalesce((SELECT max(r.version) FROM registry r WHERE r.subject = n.subject AND r.version < n.version
+    AND NOT EXISTS (SELECT 1 FROM kept k WHERE k.subject = r.subject AND k.version = r.version AND k.field_no = n.field_no
+      AND k.name = n.name)), 0) AS broken FROM now n),
+back AS (
+  SELECT subject, field_no FROM run n WHERE broken > 0
+    AND NOT EXISTS (SELECT 1 FROM kept k WHERE k.subject = n.subject AND k.version = n.broken AND k.field_no = n.field_no)
+    AND EXISTS (SELECT 1 FROM kept k WHERE k.subject = n.subject AND k.version < n.broken AND k.field_no = n.field_no AND k.name <> n.name))"""
+
 
 @query(
     "field_diff",
-    f"""WITH {ENDS}, both_ AS (
+    f"""WITH {ENDS}, {BACK}, both_ AS (
   SELECT coalesce(o.subject, n.subject) AS subject, coalesce(o.field_no, n.field_no) AS field_no,
          o.name AS old_name, n.name AS new_name, o.type AS old_type, n.type AS new_type
   FROM old o FULL JOIN new n ON o.subject = n.subject AND o.field_no = n.field_no),
@@ -64,10 +79,33 @@ moved AS (
          (SELECT field_no FROM new n WHERE n.subject = b.subject AND n.name = b.old_name) AS moved_to FROM both_ b)
 SELECT *, CASE WHEN coalesce(moved_from <> field_no, false) OR coalesce(moved_to <> field_no, false) THEN 'renumbered'
   WHEN old_name IS NULL THEN 'added' WHEN new_name IS NULL THEN 'removed'
-  WHEN old_type <> new_type THEN 'retyped' WHEN old_name <> new_name THEN 'renamed' ELSE 'same' END AS change FROM moved""",
+  WHEN old_type <> new_type THEN 'retyped' WHEN old_name <> new_name THEN 'renamed' ELSE 'same' END AS change,
+  (subject, field_no) IN (SELECT (subject, field_no) FROM back) AS reused,
+  coalesce(moved_from <> field_no, false) OR coalesce(moved_to <> field_no, false) AS renumbered,
+  old_name IS NULL AS added, new_name IS NULL AS removed,
+  coalesce(old_type <> new_type, false) AS retyped, coalesce(old_name <> new_name, false) AS renamed FROM moved""",
 )
 def field_diff(spark, sf):
-    return reg.field_diff(*_ends(spark, sf), ["subject"])
+    old, new, pairs = _ends(spark, sf)
+    runs = reg.lifetimes(d.registry(spark, sf), d.fields(spark, sf))
+    return reg.field_diff(old, new, ["subject"], reg.reused_since(runs, pairs))
+
+
+@query(
+    "field_lifetimes",
+    f"""WITH {s.REGISTRY}, g AS (
+  SELECT *, version - row_number() OVER (PARTITION BY subject, field_no, name ORDER BY version) AS run FROM declared WHERE NOT reserved),
+r AS (
+  SELECT subject, field_no, name, min(version) AS first_version, max(version) AS last_version FROM g GROUP BY subject, field_no, name, run)
+SELECT *, first_version > 1 AND NOT EXISTS (
+    SELECT 1 FROM declared k WHERE NOT k.reserved AND k.subject = r.subject AND k.field_no = r.field_no AND k.version = r.first_version - 1)
+  AND EXISTS (
+    SELECT 1 FROM declared k WHERE NOT k.reserved AND k.subject = r.subject AND k.field_no = r.field_no AND k.version < r.first_version
+      AND k.name <> r.name) AS reused FROM r""",
+)
+def field_lifetimes(spark, sf):
+    """Runs of versions in which a number has one name, in blocks of two versions."""
+    return reg.lifetimes(d.registry(spark, sf), d.fields(spark, sf), width=2).drop("first_rank", "last_rank")
 
 
 SAFE = "(o.type IN ('string', 'bytes') AND n.type IN ('string', 'bytes') OR o.type IN ('int32', 'int64') AND n.type IN ('int32', 'int64') OR o.type = n.type)"
@@ -79,7 +117,7 @@ SAFE = "(o.type IN ('string', 'bytes') AND n.type IN ('string', 'bytes') OR o.ty
     "FROM old o JOIN new n ON o.subject = n.subject AND o.field_no = n.field_no GROUP BY o.type, n.type",
 )
 def type_change(spark, sf):
-    old, new = _ends(spark, sf)
+    old, new, _ = _ends(spark, sf)
     pairs = old.select("subject", "field_no", F.col("type").alias("old_type")).join(
         new.select("subject", "field_no", F.col("type").alias("new_type")), ["subject", "field_no"]
     )
@@ -90,35 +128,66 @@ def type_change(spark, sf):
 _PAIR = "n.subject = o.subject AND o.version < n.version"
 
 
-RETYPED = f"n.field_no = o.field_no AND NOT o.reserved AND NOT {SAFE}"
 MOVED = "n.name = o.name AND NOT o.reserved AND n.field_no <> o.field_no"
 RESERVED = "n.field_no = o.field_no AND o.reserved"
 RENAMED = "n.field_no = o.field_no AND NOT o.reserved AND n.name <> o.name"
 
-@query(
-    "compat_matrix",
-    f"""WITH {s.REGISTRY}, pairs AS (
-  SELECT n.subject, n.version, o.version = n.version - 1 AS near,
-         {RETYPED} AS retyped, {MOVED} AS moved, {RESERVED} AS reserved_no, {RENAMED} AS renamed,
+
+def _verdicts(backward: str, forward: str, registry: str = "registry", declared: str = "declared") -> str:
+    """The verdicts by pairs of versions, for two rules of safe changes from ``o.type`` to ``n.type``."""
+    return f"""ordered AS (
+  SELECT subject, version, schema_id, lag(version) OVER (PARTITION BY subject ORDER BY version) AS before FROM {registry}),
+told AS (SELECT d.*, r.before FROM {declared} d JOIN ordered r ON d.subject = r.subject AND d.version = r.version),
+pairs AS (
+  SELECT n.subject, n.version, o.version = n.before AS near,
+         n.field_no = o.field_no AND NOT o.reserved AND NOT {backward} AS retyped,
+         n.field_no = o.field_no AND NOT o.reserved AND NOT {forward} AS back_retyped,
+         {MOVED} AS moved, {RESERVED} AS reserved_no, {RENAMED} AS renamed,
          n.field_no = o.field_no AND NOT o.reserved AND n.name <> o.name AND p.version IS NULL AS back
-  FROM declared n JOIN declared o ON {_PAIR} AND (n.field_no = o.field_no OR n.name = o.name)
-  LEFT JOIN declared p ON p.subject = n.subject AND p.field_no = n.field_no AND p.version = n.version - 1 AND NOT p.reserved
+  FROM told n JOIN told o ON {_PAIR} AND (n.field_no = o.field_no OR n.name = o.name)
+  LEFT JOIN told p ON p.subject = n.subject AND p.field_no = n.field_no AND p.version = n.before AND NOT p.reserved
   WHERE NOT n.reserved),
 v AS (
-  SELECT subject, version, bool_or(near AND (retyped OR moved OR reserved_no)) AS f_prev,
-         bool_or(retyped OR moved OR reserved_no OR back) AS f_any,
+  SELECT subject, version, bool_or(near AND (retyped OR moved OR reserved_no)) AS b_prev,
+         bool_or(near AND (back_retyped OR moved OR reserved_no)) AS f_prev,
+         bool_or(retyped OR moved OR reserved_no OR back) AS b_any,
+         bool_or(back_retyped OR moved OR reserved_no OR back) AS f_any,
          bool_or(reserved_no OR back) AS number_reused, bool_or(near AND renamed) AS source_break
   FROM pairs GROUP BY subject, version)
-SELECT subject, version, schema_id, NOT coalesce(f_prev, false) AS backward, NOT coalesce(f_prev, false) AS forward,
-  NOT coalesce(f_prev, false) AS "full", NOT coalesce(f_any, false) AS transitive_backward,
-  NOT coalesce(f_any, false) AS transitive_forward, NOT coalesce(f_any, false) AS transitive_full, true AS "none",
+SELECT subject, version, schema_id, NOT coalesce(b_prev, false) AS backward, NOT coalesce(f_prev, false) AS forward,
+  NOT coalesce(b_prev OR f_prev, false) AS "full", NOT coalesce(b_any, false) AS transitive_backward,
+  NOT coalesce(f_any, false) AS transitive_forward, NOT coalesce(b_any OR f_any, false) AS transitive_full, true AS "none",
   coalesce(number_reused, false) AS number_reused, coalesce(source_break, false) AS source_break
-FROM registry LEFT JOIN v USING (subject, version)""",
-)
+FROM ordered LEFT JOIN v USING (subject, version)"""
+
+
+@query("compat_matrix", f"WITH {s.REGISTRY}, {_verdicts(SAFE, SAFE)}")
 def compat_matrix(spark, sf):
     return reg.compat(d.registry(spark, sf), d.fields(spark, sf))
 
 
+WIDER = "(o.type = n.type OR o.type = 'int32' AND n.type = 'int64' OR o.type = 'string' AND n.type = 'bytes')"
+NARROWER = "(o.type = n.type OR o.type = 'int64' AND n.type = 'int32' OR o.type = 'bytes' AND n.type = 'string' OR o.type = 'string' AND n.type = 'bytes')"
+
+
+@query("compat_one_sided", f"WITH {s.REGISTRY}, {_verdicts(WIDER, NARROWER)}")
+def compat_one_sided(spark, sf):
+    """A strict registry: a wider type is for new readers only, a narrower one for old readers only."""
+    rules = [("int32", "int64", True, False), ("int64", "int32", False, True), ("string", "bytes", True, True), ("bytes", "string", False, True)]
+    return reg.compat(d.registry(spark, sf), d.fields(spark, sf), rules=spark.createDataFrame(rules, reg.RULES))
+
+
+@query(
+    "compat_dropped",
+    f"WITH {s.REGISTRY}, kept AS (SELECT * FROM registry WHERE status <> 'O'), left_ AS (SELECT d.* FROM declared d JOIN kept k USING (subject, version)), "
+    + _verdicts(SAFE, SAFE, "kept", "left_"),
+)
+def compat_dropped(spark, sf):
+    """The versions of open orders were dropped, so that those before and after them are neighbours."""
+    r = d.registry(spark, sf)
+    return reg.compat(reg.drop_versions(r, r.where("status = 'O'")), d.fields(spark, sf))
+
+
 @query(
     "reserved_use",
     f"""WITH {s.REGISTRY} SELECT subject, version, field_no, name, number_reserved, name_reserved FROM (
