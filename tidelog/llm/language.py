@@ -5,9 +5,12 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +25,11 @@ SMOOTH = 0.5
 # Unseen words whose scores a worker remembers.
 REMEMBERED = 300_000
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+# Pairs of language and word whose n-grams are counted in one go.
+CHUNK = 20_000
+# Word characters that are no letters: numbers such as superscripts, fractions and Roman ones.
+_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and category(c)[0] != "L")
+LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -30,36 +37,44 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Table:
-    """Log frequency per language of each key."""
+    """Log frequency per language of each key, from chunks of keys, languages and counts."""
 
-    def __init__(self, keys: list[str], lang: np.ndarray, count: np.ndarray, langs: int):
+    def __init__(self, chunks: Iterable[tuple[list[str], np.ndarray, np.ndarray]], langs: int):
         self.at: dict[str, int] = {}
-        rows = np.fromiter((self.at.setdefault(k, len(self.at)) for k in keys), np.int64, len(keys))
-        self.counts = np.bincount(rows * langs + lang, count, len(self.at) * langs).reshape(len(self.at), langs)
-        self.scores = np.log((self.counts + SMOOTH) / (self.counts.sum(axis=0) + SMOOTH * (len(self.at) + 1)))
+        counts = np.zeros((1, langs))
+        for keys, lang, count in chunks:
+            rows = np.fromiter((self.at.setdefault(k, len(self.at)) for k in keys), np.int64, len(keys))
+            if len(self.at) > len(counts):
+                counts = np.concatenate([counts, np.zeros((max(len(self.at) - len(counts), len(counts)), langs))])
+            np.add.at(counts, (rows, lang), count)
+        counts = counts[: len(self.at)]
+        self.totals = counts.sum(axis=1)
+        self.scores = np.log((counts + SMOOTH) / (counts.sum(axis=0) + SMOOTH * (len(self.at) + 1)))
 
 
 class Model:
     """Log frequencies per language of words, and of n-grams of each length."""
 
-    def __init__(self, counts: list[tuple[str, str, int]]):
-        """From ``(lang, word, count)``, one row for each pair."""
-        self.langs = sorted({lang for lang, _, _ in counts})
-        at = {lang: i for i, lang in enumerate(self.langs)}
-        lang = np.array([at[c[0]] for c in counts], np.int64)
-        times = np.array([c[2] for c in counts], np.float64)
-        words = Table([c[1] for c in counts], lang, times, len(self.langs))
-        self.scores = words.scores
+    def __init__(self, langs: list[str], words: list[str], lang: np.ndarray, times: np.ndarray):
+        """From pairs of a word and a language (its place in ``langs``) with their counts."""
+        self.langs = langs
+        known = Table([(words, lang, times)], len(langs))
+        self.scores = known.scores
         # A word that was hardly seen is judged like an unseen one.
-        often = words.counts.sum(axis=1) >= MIN_COUNT
-        self.words = {w: i for w, i in words.at.items() if often[i]}
-        self.grams = []
-        for n in range(1, LONGEST + 1):
-            cuts = [[m[k : k + n] for k in range(len(m) - n + 1)] for m in (f" {c[1]} " for c in counts)]
-            lengths = [len(c) for c in cuts]
-            self.grams.append(Table([g for c in cuts for g in c], np.repeat(lang, lengths), np.repeat(times, lengths), len(self.langs)))
+        often = known.totals >= MIN_COUNT
+        self.words = {w: i for w, i in known.at.items() if often[i]}
+        self.grams = [Table(self._cuts(words, lang, times, n), len(langs)) for n in range(1, LONGEST + 1)]
         self.remembered: dict[str, np.ndarray] = {}
 
+    @staticmethod
+    def _cuts(words, lang, times, n):
+        """The n-grams of all words, a chunk of words at a time."""
+        for first in range(0, len(words), CHUNK):
+            marked = [f" {w} " for w in words[first : first + CHUNK]]
+            lengths = np.array([max(len(m) - n + 1, 0) for m in marked])
+            grams = [m[k : k + n] for m in marked for k in range(len(m) - n + 1)]
+            yield grams, np.repeat(lang[first : first + CHUNK], lengths), np.repeat(times[first : first + CHUNK], lengths)
+
     def unseen(self, word: str) -> np.ndarray:
         """Mean over the word's n-grams of the greatest length of which any is known."""
         if (score := self.remembered.get(word)) is None:
@@ -123,7 +138,9 @@ def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
 
     counts = chosen.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
     rows = counts.groupBy("lang", "word").agg(F.sum("n").alias("n")).orderBy("lang", "word").toArrow()
-    return Model(list(zip(*(rows.column(c).to_pylist() for c in ("lang", "word", "n")))))
+    langs = sorted(set(rows.column("lang").unique().to_pylist()))
+    lang = pc.index_in(rows.column("lang").combine_chunks(), pa.array(langs, pa.string())).to_numpy(False).astype(np.int64)
+    return Model(langs, rows.column("word").to_pylist(), lang, rows.column("n").to_numpy().astype(np.float64))
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ Written through Spark, so that lost tasks leave nothing behind and any store wil
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,32 +33,48 @@ END = 1
 # Documents per ordered range; ranges are at most RANGES, so their boundaries stay few.
 RANGE_ROWS = 5_000
 RANGES = 4_096
-# Pieces of text between blanks that a worker remembers.
-PIECES = 400_000
-# Fixed value: the word pattern of this vocabulary.
-PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-LETTERS = {b: c for b, c in enumerate(byte_letters())}
-_LOADED: dict[str, Pieces] = {}
+# Words that a worker remembers before it sorts out those that it has not met again.
+WORDS = 300_000
+
+
+def _low_pattern() -> re.Pattern:
+    """The vocabulary's word pattern for texts below U+0300, its classes spelt out, letters tried first.
+
+    Fixed value: the pattern is 's|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+
+    """
+    low = [chr(c) for c in range(0x300)]
+    letters, digits, blanks = ("".join(re.escape(c) for c in low if regex.match(k, c)) for k in (r"\p{L}", r"\p{N}", r"\s"))
+    return re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{digits}]|[^{blanks}{letters}{digits}]+")
+
+
+LOW = _low_pattern()
+# Letters that stand for the bytes of a word; line feeds only part the words of a list.
+LETTERS = {b: c for b, c in enumerate(byte_letters()) if b != 10}
+# Characters that normalisation may change.
+HIGH = re.compile("[\u0300-\U0010ffff]")
+_LOADED: dict[str, Words] = {}
 
 
 class _Numbers(dict):
+    """Number of each word; a new one gets the next number and waits to be learned."""
+
     def __init__(self):
         super().__init__()
-        self.new: list[str] = []
+        self.new: list[str | tuple[str]] = []
 
-    def __missing__(self, piece: str) -> int:
-        number = self[piece] = len(self)
-        self.new.append(piece)
+    def __missing__(self, word: str | tuple[str]) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
         return number
 
 
-class Pieces:
+class Words:
     """The tokenizers library, asked once for each word.
 
-    The vocabulary drops white space and lower-cases letter by letter, so a text's ids are
-    those of its pieces between blanks. A piece of letters below U+0300 is unchanged by NFC
-    and is cut into words here; the library's model then gives each word's ids. Any other
-    piece, and any text with a special token in it, goes through the library as it is.
+    The vocabulary drops white space and lower-cases letter by letter. Characters below U+0300
+    are unchanged by NFC, so a text of them is cut into words here and the library's model
+    gives each word's ids. Pieces between blanks with other characters are asked for whole,
+    and so is any text with a special token in it.
     """
 
     def __init__(self, path: str):
@@ -66,50 +83,64 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.forget()
-
-    def forget(self) -> None:
-        self.pieces, self.words = _Numbers(), {}
-        self.ids, self.offsets = np.empty(0, np.int64), np.zeros(1, np.int64)
+        self.words, self.ids, self.offsets = _Numbers(), np.empty(0, np.int32), np.zeros(1, np.int64)
+        self.old = {}, self.ids, self.offsets
 
-    def _word(self, word: str) -> list[int]:
-        if (found := self.words.get(word)) is None:
-            shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(LETTERS)
-            found = self.words[word] = [t.id for t in self.tokenizer.model.tokenize(shown)]
-        return found
+    def age(self) -> None:
+        """Begin anew; of the words of before, those that are met again are taken over."""
+        if len(self.words) > WORDS:
+            self.old = dict(self.words), self.ids, self.offsets
+            self.words, self.ids, self.offsets = _Numbers(), np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def _learn(self) -> None:
+        numbers, old_ids, old_offsets = self.old
+        new = self.words.new
+        where = np.fromiter((numbers.get(w, -1) for w in new), np.int64, len(new))
+        unmet = [new[i] for i in np.flatnonzero(where < 0)]
+        plain = [w for w in unmet if isinstance(w, str)]
+        shown = iter("\n".join(plain).encode().decode("latin-1").translate(LETTERS).split("\n"))
+        tokenize, whole = self.tokenizer.model.tokenize, self.tokenizer.encode
         ids: list[int] = []
-        counts = []
-        for piece in self.pieces.new:
-            before = len(ids)
-            if not piece or max(piece) < "\u0300":
-                for word in PATTERN.findall(piece.lower()):
-                    ids += self._word(word)
-            else:
-                ids += self.tokenizer.encode(piece, add_special_tokens=False).ids
-            counts.append(len(ids) - before)
-        self.pieces.new.clear()
+        ends = []
+        for word in unmet:
+            ids += [t.id for t in tokenize(next(shown))] if isinstance(word, str) else whole(word[0], add_special_tokens=False).ids
+            ends.append(len(ids))
+        # What was known and what is new, end to end, then in the order of the new numbers.
+        values = np.concatenate([old_ids, np.array(ids, np.int32)])
+        offsets = np.concatenate([old_offsets, old_offsets[-1] + np.array(ends, np.int64)])
+        where[where < 0] = len(old_offsets) - 1 + np.arange(len(unmet))
+        found, counts = gather(values, offsets, where)
+        new.clear()
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(counts)])
-        self.ids = np.concatenate([self.ids, np.array(ids, np.int64)])
+        self.ids = np.concatenate([self.ids, found])
+
+    def _numbers(self, text: str) -> np.ndarray:
+        if not HIGH.search(text):
+            return np.fromiter(map(self.words.__getitem__, LOW.findall(text.lower())), np.int64)
+        found: list[int] = []
+        for piece in text.replace("\n", " ").split(" "):
+            if HIGH.search(piece):
+                found.append(self.words[(piece,)])
+            else:
+                found += map(self.words.__getitem__, LOW.findall(piece.lower()))
+        return np.array(found, np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.pieces) > PIECES:
-            self.forget()
+        self.age()
         whole, numbers = {}, []
         for at, text in enumerate(texts):
             if "<|" in text and any(t in text for t in self.special):
                 whole[at] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
                 text = ""
-            numbers.append(np.fromiter(map(self.pieces.__getitem__, text.replace("\n", " ").split(" ")), np.int64))
-        if self.pieces.new:
+            numbers.append(self._numbers(text))
+        if self.words.new:
             self._learn()
         return [whole[at] if at in whole else gather(self.ids, self.offsets, n)[0] for at, n in enumerate(numbers)]
 
 
-def loaded(path: str) -> Pieces:
+def loaded(path: str) -> Words:
     if path not in _LOADED:
-        _LOADED[path] = Pieces(path)
+        _LOADED[path] = Words(path)
     return _LOADED[path]
 
 
@@ -120,7 +151,7 @@ def vocabulary(name: str = VOCABULARY) -> str:
 
 
 # Byte counts of the four values that a control byte describes.
-WIDTHS = np.array([[(c >> (2 * i) & 3) + 1 for i in range(4)] for c in range(256)], np.int64)
+WIDTHS = np.array([[(c >> (2 * i) & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -128,21 +159,24 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     values = values.astype(np.uint32)
     if not len(values):
         return b"", b""
-    width = 1 + (values > 0xFF).astype(np.int64) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    width = 1 + (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     codes[: len(values)] = width - 1
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    used = np.arange(4) < width[:, None]
-    return control.tobytes(), values.astype("<u4").view(np.uint8).reshape(-1, 4)[used].tobytes()
+    widest = int(width.max())
+    used = np.arange(widest, dtype=np.uint8) < width[:, None]
+    return control.tobytes(), values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :widest][used].tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The ``count`` values of :func:`pack`, by looking control bytes up in a table."""
     width = WIDTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
-    raw = np.zeros((count, 4), np.uint8)
-    raw[np.arange(4) < width[:, None]] = np.frombuffer(data, np.uint8)
-    return raw.reshape(-1).view("<u4").astype(np.int64)
+    widest = int(width.max(initial=1))
+    size = 1 if widest == 1 else 2 if widest == 2 else 4
+    raw = np.zeros((count, size), np.uint8)
+    raw[np.arange(size, dtype=np.uint8) < width[:, None]] = np.frombuffer(data, np.uint8)
+    return raw.reshape(-1).view(f"<u{size}").astype(np.int64)
 
 
 def tokens(docs: DataFrame, bounds: list[int], path: str, end: int) -> DataFrame:
