@@ -27,13 +27,17 @@ REMEMBERED = 300_000
 UNKNOWN = "und"
 # Pairs of language and word whose n-grams are counted in one go.
 CHUNK = 20_000
-# Word characters that are no letters: numbers such as superscripts, fractions and Roman ones.
-_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and category(c)[0] != "L")
-LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+LETTERS = re.compile(r"[^\W\d_]+")
+# Word characters that are neither digits nor letters: superscripts, fractions, Roman numbers.
+NUMBERS = frozenset(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and category(c)[0] != "L")
+_BLANKS = dict.fromkeys(map(ord, NUMBERS), " ")
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall((text or "").lower())
+    text = (text or "").lower()
+    if not text.isascii() and not NUMBERS.isdisjoint(text):
+        text = text.translate(_BLANKS)
+    return LETTERS.findall(text)
 
 
 class Table:
