@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.schemas import WIRE, Field
+from tidelog.schemas import Field, spark_type
 
 # What an absent field reads as, per Protobuf type.
 ZERO = {
     "double": 0.0, "float": 0.0, "int32": 0, "int64": 0, "uint32": 0, "uint64": 0,
-    "sint32": 0, "sint64": 0, "bool": False, "enum": 0, "string": "", "bytes": b"",
+    "sint32": 0, "sint64": 0, "fixed32": 0, "fixed64": 0, "sfixed32": 0, "sfixed64": 0, "bool": False, "enum": 0, "string": "", "bytes": b"",
 }
 
 
 def zero(f: Field) -> Column:
-    """The zero value of a field; a nested time has none and stays null."""
-    kind = WIRE[f.type][1]
-    return F.lit(ZERO.get(f.type)).cast(kind)
+    """The zero value of a field: no elements if repeated; a nested message or time has none and stays null."""
+    return (F.array() if f.repeated else F.lit(ZERO.get(f.type))).cast(spark_type(f))
 
 
 def project_reader(df: DataFrame, have: list[Field], reader: list[Field], keep: list[str]) -> DataFrame:
@@ -28,7 +27,7 @@ def project_reader(df: DataFrame, have: list[Field], reader: list[Field], keep:
     """
     known = {f.no: f.name for f in have}
     cols = [
-        (F.coalesce(F.col(known[f.no]).cast(WIRE[f.type][1]), zero(f)) if f.no in known else zero(f)).alias(f.name)
+        (F.coalesce(F.col(known[f.no]).cast(spark_type(f)), zero(f)) if f.no in known else zero(f)).alias(f.name)
         for f in reader
     ]
     return df.select(*keep, *cols)

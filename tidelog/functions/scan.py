@@ -2,6 +2,9 @@
 
 All rows of a batch are walked in step: each turn reads one field of every row that has
 bytes left, with array operations over the batch's byte buffer. There is no per-row loop.
+Nested messages are walked in the same way, all of one field of a batch at once: their places
+in the buffer are the rows of the next level. How often a field occurs in a row becomes the
+offsets of an Arrow list, whether it occurs at all the validity of an Arrow struct.
 """
 
 from __future__ import annotations
@@ -19,6 +22,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidelog.functions.records import ZERO
 from tidelog.schemas import WIRE, Field, struct, struct_of
 
+# Layout of the types of fixed width.
+FIXED = {"double": "<f8", "float": "<f4", "fixed64": "<u8", "fixed32": "<u4", "sfixed64": "<i8", "sfixed32": "<i4"}
+
 
 class Scan(NamedTuple):
     """Fields found in a batch, in wire order per row, and an error text per row (or None)."""
@@ -183,17 +189,121 @@ def _text(column: pa.Array, error: np.ndarray) -> pa.Array:
         return pa.array([read(i, raw) for i, raw in enumerate(column.to_pylist())], pa.large_string())
 
 
+def _elements(f: Field, data, value, start, length) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Typed values of fields found at the given places, and error and mismatch of each."""
+    count = len(start)
+    error, mismatch = np.full(count, None, object), np.zeros(count, bool)
+    if f.type == "message":
+        columns, error, mismatch = decode_ranges(data, start, start + length, f.inner)
+        return _struct(f, columns, count), error, mismatch
+    if f.type == "timestamp":
+        out = _times(data, np.arange(count), start, length, count, error)
+    elif f.type in FIXED:
+        out = pa.array(_fixed(data, start, FIXED[f.type]))
+    elif WIRE[f.type][0] == 2:
+        body = _gather(data, start, length)
+        out = _text(body, error) if f.type == "string" else body
+    else:
+        out = pa.array(_numbers(f.type, value))
+    return (out.cast(pa.decimal128(20, 0)) if f.type in ("uint64", "fixed64") else out), error, mismatch
+
+
+def _struct(f: Field, columns: list[pa.Array], count: int, absent: np.ndarray | None = None) -> pa.Array:
+    mask = None if absent is None else pa.array(absent)
+    if not columns:
+        return pa.array([None if absent is not None and absent[i] else {} for i in range(count)], pa.struct([]))
+    return pa.StructArray.from_arrays(columns, [g.name for g in f.inner], mask=mask)
+
+
+def _blame(rows: np.ndarray, found: np.ndarray, error: np.ndarray) -> None:
+    """Errors of parts become errors of their rows."""
+    for i in np.flatnonzero(found != None):  # noqa: E711
+        error[rows[i]] = found[i]
+
+
+def _packed(f: Field, data, found: Scan, pick: np.ndarray, error: np.ndarray):
+    """Values and places of numbers that come one by one or packed in blocks, in wire order."""
+    start, length, value = found.start[pick], found.length[pick], found.value[pick]
+    block = found.wire[pick] == 2
+    at = np.flatnonzero(block)
+    if f.type in FIXED:
+        size = np.dtype(FIXED[f.type]).itemsize
+        counts = np.where(block, length // size, 1)
+        error[found.row[pick[block & (length % size != 0)]]] = "broken message"
+        entry = np.repeat(np.arange(len(pick)), counts)
+        nth = np.arange(len(entry)) - np.repeat(np.cumsum(counts) - counts, counts)
+        return entry, value[entry], start[entry] + nth * size
+    inside = slices(start[at], length[at])
+    owner = np.repeat(np.arange(len(at)), length[at])
+    ends = data[inside] < 128
+    opens = np.append(True, ends[:-1]) | np.append(True, owner[1:] != owner[:-1]) if len(inside) else np.zeros(0, bool)
+    first, of = inside[opens], owner[opens]
+    numbers, _, bad = _varints(data, first, (start + length)[at][of])
+    error[found.row[pick[at[of[bad]]]]] = "broken message"
+    counts = np.ones(len(pick), np.int64)
+    counts[at] = np.bincount(of, minlength=len(at))
+    entry = np.repeat(np.arange(len(pick)), counts)
+    values = value[entry]
+    values[block[entry]] = numbers
+    return entry, values, start[entry]
+
+
+def _list(f: Field, data, found: Scan, pick: np.ndarray, n: int, error: np.ndarray, mismatch: np.ndarray) -> pa.Array:
+    """All values of a repeated field, as one list per row."""
+    pick = pick[np.argsort(found.row[pick], kind="stable")]
+    if WIRE[f.type][0] == 2:
+        value, start, rows = found.value[pick], found.start[pick], found.row[pick]
+    else:
+        entry, value, start = _packed(f, data, found, pick, error)
+        rows = found.row[pick][entry]
+    length = found.length[pick] if WIRE[f.type][0] == 2 else np.zeros(len(start), np.int64)
+    values, wrong, other = _elements(f, data, value, start, length)
+    _blame(rows, wrong, error)
+    mismatch[rows[other]] = True
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def _nested(f: Field, data, found: Scan, pick: np.ndarray, n: int, error: np.ndarray, mismatch: np.ndarray) -> pa.Array:
+    """One nested message per row, null where there is none; parts of a message sent in pieces are one message."""
+    pick = pick[np.argsort(found.row[pick], kind="stable")]
+    rows, begins = np.unique(found.row[pick], return_index=True)
+    start, length = found.start[pick], found.length[pick]
+    if len(rows) < len(pick):
+        data = data[slices(start, length)]
+        length = np.add.reduceat(length, begins)
+        start = np.cumsum(length) - length
+    columns, wrong, other = decode_ranges(data, start, start + length, f.inner)
+    _blame(rows, wrong, error)
+    mismatch[rows[other]] = True
+    spot, absent = np.zeros(n, np.int64), np.ones(n, bool)
+    spot[rows], absent[rows] = np.arange(len(rows)), False
+    take = pa.array(spot, mask=absent)
+    return _struct(f, [c.take(take) for c in columns], n, absent)
+
+
 def decode_batch(column: pa.Array, fields: list[Field]) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:
     """Typed columns, error per row, and whether a known field came with another wire type."""
-    data, start, end = binary_buffer(column)
+    return decode_ranges(*binary_buffer(column), fields)
+
+
+def decode_ranges(data, start, end, fields) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:
+    """The same for messages between ``start`` and ``end`` in ``data``."""
     n = len(start)
     found = scan(data, start, end)
     error, mismatch, out = found.error, np.zeros(n, bool), []
     for f in fields:
-        wire, kind = WIRE[f.type]
+        wire = WIRE[f.type][0]
         mine = found.number == f.no
-        mismatch[found.row[mine & (found.wire != wire)]] = True
-        pick = np.flatnonzero(mine & (found.wire == wire))
+        fits = (found.wire == wire) | (found.wire == 2) if f.repeated else found.wire == wire
+        mismatch[found.row[mine & ~fits]] = True
+        pick = np.flatnonzero(mine & fits)
+        if f.repeated:
+            out.append(_list(f, data, found, pick, n, error, mismatch))
+            continue
+        if f.type == "message":
+            out.append(_nested(f, data, found, pick, n, error, mismatch))
+            continue
         pick = pick[_last(found.row[pick], n)]
         rows, first, length = found.row[pick], found.start[pick], found.length[pick]
         if f.type == "timestamp":
@@ -204,16 +314,44 @@ def decode_batch(column: pa.Array, fields: list[Field]) -> tuple[list[pa.Array],
             body = _gather(data, begin, size)
             out.append(_text(body, error) if f.type == "string" else body)
         else:
-            if wire == 0:
-                values = _numbers(f.type, found.value[pick])
-            else:
-                values = _fixed(data, first, "<f8" if wire == 1 else "<f4")
+            values = _fixed(data, first, FIXED[f.type]) if f.type in FIXED else _numbers(f.type, found.value[pick])
             full = np.zeros(n, values.dtype)
             full[rows] = values
-            out.append(pa.array(full) if f.type != "uint64" else pa.array(full).cast(pa.decimal128(20, 0)))
+            out.append(pa.array(full).cast(pa.decimal128(20, 0)) if f.type in ("uint64", "fixed64") else pa.array(full))
     return out, error, mismatch
 
 
+def _fit(array: pa.Array, kind: pa.DataType) -> pa.Array:
+    """The array in the type that Spark expects, all the way down."""
+    if pa.types.is_struct(kind):
+        parts = [_fit(array.field(i), kind.field(i).type) for i in range(kind.num_fields)]
+        return pa.StructArray.from_arrays(parts, fields=list(kind), mask=array.is_null()) if parts else array.cast(kind)
+    if pa.types.is_list(kind):
+        return pa.ListArray.from_arrays(array.offsets, _fit(array.values, kind.value_type), type=kind)
+    return array.cast(kind)
+
+
+def decode_messages(df: DataFrame, fields: list[Field], payload: str, keep: list[str]) -> DataFrame:
+    """``keep``, the fields of the one message type in ``payload``, and ``decode_error``."""
+    source = df.select(*keep, payload)
+    kept = [f for f in source.schema.fields if f.name != payload]
+    shape = T.StructType([*kept, *struct_of(fields).fields, T.StructField("decode_error", T.StringType())])
+    arrow = to_arrow_schema(shape)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, error, _ = decode_batch(batch.column(payload), fields)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(f.name).cast(arrow.field(f.name).type) for f in kept],
+                    *[_fit(c, arrow.field(f.name).type) for f, c in zip(fields, columns)], pa.array(error, pa.string()),
+                ],
+                schema=arrow,
+            )
+
+    return source.mapInArrow(run, shape)
+
+
 def decode_topic(
     df: DataFrame,
     writers: dict[int, list[Field]],
@@ -228,7 +366,25 @@ def decode_topic(
     reads as zero and sets ``wire_mismatch``.
     """
     columns = columns or list({f.no: f for fields in writers.values() for f in fields}.values())
-    keep = [f for f in df.schema.fields if f.name not in ("value", payload)]
+    shape, one = _decoder(df.drop("value") if payload != "value" else df, columns, payload)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for schema_id, part in _by_schema(batch):
+                yield one(part, writers.get(schema_id, []))
+
+    return df.drop(*(["value"] if payload != "value" else [])).mapInArrow(run, shape)
+
+
+def _by_schema(batch: pa.RecordBatch) -> Iterator[tuple[int | None, pa.RecordBatch]]:
+    ids = batch.column("schema_id")
+    for schema_id in pc.unique(ids).to_pylist():
+        yield schema_id, batch.filter(pc.equal(ids, schema_id) if schema_id is not None else pc.is_null(ids))
+
+
+def _decoder(df: DataFrame, columns: list[Field], payload: str, drop: tuple[str, ...] = ()):
+    """The shape of a decoded table, and what decodes a batch of one writer into it."""
+    keep = [f for f in df.schema.fields if f.name != payload and f.name not in drop]
     shape = T.StructType(
         keep
         + struct_of(columns).fields
@@ -237,10 +393,10 @@ def decode_topic(
     arrow = to_arrow_schema(shape)
     names = [f.name for f in keep]
 
-    def one(batch: pa.RecordBatch, schema_id: int) -> pa.RecordBatch:
+    def one(batch: pa.RecordBatch, writer: list[Field]) -> pa.RecordBatch:
         n = batch.num_rows
-        known = {f.no: f for f in writers.get(schema_id, [])}
-        read = [known[f.no] for f in columns if f.no in known]
+        known = {f.no: f for f in writer}
+        read = [_as_read(known[f.no], f) for f in columns if f.no in known]
         cols, error, mismatch = decode_batch(batch.column(payload), read)
         if not known:
             error = np.full(n, "unknown schema id", object)
@@ -248,22 +404,30 @@ def decode_topic(
         typed = []
         for f, target in zip(columns, list(arrow)[len(names) : -2]):
             got = by_number.get(f.no)
-            typed.append(_zeros(f, n, target.type) if got is None else got.cast(target.type))
+            typed.append(_zeros(f, n, target.type) if got is None else _fit(got, target.type))
         return pa.RecordBatch.from_arrays(
             [*[batch.column(c).cast(arrow.field(c).type) for c in names], *typed, pa.array(mismatch), pa.array(error, pa.string())], schema=arrow
         )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("schema_id")
-            for schema_id in pc.unique(ids).to_pylist():
-                same = pc.equal(ids, schema_id) if schema_id is not None else pc.is_null(ids)
-                yield one(batch.filter(same), schema_id)
+    return shape, one
 
-    return df.drop(*(["value"] if payload != "value" else [])).mapInArrow(run, shape)
+
+def _as_read(written: Field, wanted: Field) -> Field:
+    """How to read a field of a writer for a reader: nested fields are met by number, with the reader's names.
+
+    A writer's plain type is kept, as it says how the bytes are coded; where one side has a
+    message or a list and the other has not, the reader's is taken and the bytes decide.
+    """
+    if wanted.type != "message":
+        same = written.type != "message" and written.repeated == wanted.repeated
+        return wanted._replace(type=written.type) if same else wanted
+    theirs = {f.no: f for f in written.inner}
+    return wanted._replace(inner=tuple(_as_read(theirs[f.no], f) if f.no in theirs else f for f in wanted.inner))
 
 
 def _zeros(f: Field, n: int, kind: pa.DataType) -> pa.Array:
+    if f.repeated:
+        return pa.array([[]] * n, kind)
     if f.type not in ZERO:
         return pa.nulls(n, kind)
     return pa.array([ZERO[f.type]] * n).cast(kind)

@@ -42,11 +42,16 @@ TOPIC_CONFIG = struct(
 
 
 class Field(NamedTuple):
-    """One message field: wire number, name, Protobuf type (enums are ``enum``)."""
+    """One message field: wire number, name, Protobuf type (enums are ``enum``).
+
+    A field of type ``message`` holds the fields of ``inner``; a ``repeated`` one is a list.
+    """
 
     no: int
     name: str
     type: str
+    repeated: bool = False
+    inner: tuple[Field, ...] = ()
 
 
 # Message layouts and enum numbers must equal the published schemas.
@@ -96,14 +101,25 @@ WIRE = {
     "uint64": (0, "decimal(20,0)"),
     "sint32": (0, "int"),
     "sint64": (0, "bigint"),
+    "fixed32": (5, "bigint"),
+    "fixed64": (1, "decimal(20,0)"),
+    "sfixed32": (5, "int"),
+    "sfixed64": (1, "bigint"),
     "bool": (0, "boolean"),
     "enum": (0, "int"),
     "string": (2, "string"),
     "bytes": (2, "binary"),
     "timestamp": (2, "timestamp"),
+    "message": (2, "binary"),
 }
 
 
-def struct_of(fields: list[Field]) -> T.StructType:
+def spark_type(f: Field) -> T.DataType:
+    """The column type of a field."""
+    kind = struct_of(f.inner) if f.type == "message" else _TYPES[WIRE[f.type][1]]
+    return T.ArrayType(kind) if f.repeated else kind
+
+
+def struct_of(fields: list[Field] | tuple[Field, ...]) -> T.StructType:
     """The typed table a message decodes to."""
-    return struct(", ".join(f"{f.name} {WIRE[f.type][1]}" for f in fields))
+    return T.StructType([T.StructField(f.name, spark_type(f)) for f in fields])

@@ -29,9 +29,14 @@ def read_topic(
 
     With ``path`` the topic is a landed log: parquet with the ``TOPIC`` columns, laid out
     by topic and partition. With ``servers`` it is read through the Kafka connector.
-    ``fail_on_data_loss`` is STR-8: stop, or go on, when offsets have expired.
+    ``fail_on_data_loss`` is STR-8: stop, or go on, when offsets have expired. On a landed log
+    ``reset="latest"`` and the check for lost offsets need tables beside the stream, which
+    ``streaming.landed`` keeps (``start_positions``, ``read_from``, ``guarded``); here they are
+    refused rather than ignored.
     """
     if path is not None:
+        if reset != "earliest" or not fail_on_data_loss:
+            raise ValueError("on a landed log use start_positions, read_from and guarded of tidelog.streaming.landed")
         reader = spark.readStream if streaming else spark.read
         if streaming and max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_per_trigger)
@@ -145,7 +150,10 @@ def read_tiered_compacted(hot: DataFrame, cold: DataFrame) -> DataFrame:
 
 
 def topic_types(messages: dict[str, list[Field]], mapping: Iterable[tuple[str, str]], spark: SparkSession) -> DataFrame:
-    """SRC-7: message type and typed layout of each mapped topic."""
+    """SRC-7: message type and typed layout of each mapped topic, for layouts that are stated in code.
+
+    ``sources.descriptors.topic_types`` reads them from the registry's descriptor bytes.
+    """
     from tidelog.schemas import struct_of
 
     rows = [(topic, name, struct_of(messages[name]).simpleString()) for topic, name in mapping]

@@ -92,20 +92,25 @@ class _Latest(StatefulProcessor):
 def current_state(changes: DataFrame, delete_retention_ms: int | None = None) -> DataFrame:
     """STR-9: stream of changes to the latest value per key; ``deleted`` marks tombstones.
 
-    ``changes`` reads what ``write_changes`` wrote. State is one record per live key, and
-    the offset of each tombstone, so that an older record that comes later does not bring
-    the key back. With ``delete_retention_ms`` that offset is let go so long after it
-    arrived; Spark then goes on starting batches, so a query that is to end with its input
-    (``availableNow``) must not have it.
+    ``changes`` reads what ``write_changes`` wrote. State is the newest record of each key, of
+    a tombstone without a value, so that an older record that comes later does not bring the
+    key back. It is an aggregate of the stream, so no row leaves the JVM; a batch gives the
+    state of the keys it touched.
+
+    With ``delete_retention_ms`` the offset of a tombstone is let go so long after it
+    arrived, by a timer of a stateful processor for each key; Spark then goes on starting
+    batches, so a query that is to end with its input (``availableNow``) must not have it.
     """
+    if delete_retention_ms is None:
+        newest = changes.groupBy("topic", "partition", "key").agg(F.max_by(F.struct("offset", "timestamp", "value"), "offset").alias("r"))
+        return newest.select("topic", "partition", "key", "r.*", F.col("r.value").isNull().alias("deleted"))
     spark = changes.sparkSession
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    mode = "None" if delete_retention_ms is None else "ProcessingTime"
     return changes.groupBy("topic", "partition", "key").transformWithState(
-        statefulProcessor=_Latest(delete_retention_ms), outputStructType=_CHANGE, outputMode="Update", timeMode=mode
+        statefulProcessor=_Latest(delete_retention_ms), outputStructType=_CHANGE, outputMode="Update", timeMode="ProcessingTime"
     )
 
 
