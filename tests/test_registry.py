@@ -118,3 +118,63 @@ def test_registration(spark):
     modes = spark.createDataFrame([("a", "FULL"), ("b", None)], "subject string, mode string")
     assert [r.mode for r in reg.modes(modes).orderBy("subject").collect()] == ["FULL", "BACKWARD"]
     assert [r.mode for r in reg.modes(modes, "NONE").orderBy("subject").collect()] == ["FULL", "NONE"]
+
+
+def test_versions_that_were_dropped_are_not_neighbours(spark):
+    first, second, third = BASE, [*BASE, (4, "x", "string")], [(1, "id", "string"), (2, "qty", "string"), (3, "item", "string")]
+    registry, fields = build(spark, {"s": [first, second, third]})
+    gone = reg.drop_version(registry, "s", 2)
+    r = {x.version: x for x in reg.compat(gone, fields).collect()}
+    assert set(r) == {1, 3} and not r[3].backward and not r[3].forward and not r[3].full
+    # A version that was dropped does not count for the transitive modes either.
+    bad = [BASE, [BASE[0], (2, "qty", "string"), BASE[2]], BASE]
+    registry, fields = build(spark, {"s": bad})
+    assert not {x.version: x for x in reg.compat(registry, fields).collect()}[3].backward
+    assert {x.version: x for x in reg.compat(reg.drop_version(registry, "s", 2), fields).collect()}[3].transitive_full
+    # Without it a number that it alone declared was never there.
+    back = [BASE[:2], BASE, BASE[:2], [*BASE[:2], (3, "note", "string")]]
+    registry, fields = build(spark, {"s": back})
+    assert {x.version: x for x in reg.compat(registry, fields).collect()}[4].number_reused
+    assert not {x.version: x for x in reg.compat(reg.drop_version(registry, "s", 2), fields, width=2).collect()}[4].number_reused
+
+
+def test_one_sided_rules(spark):
+    rules = spark.createDataFrame([("int32", "int64", True, False), ("bytes", "string", False, True), ("odd", "string", True, True)], reg.RULES)
+    wide = [BASE[0], (2, "qty", "int64"), BASE[2]]
+    registry, fields = build(spark, {"wider": [BASE, wide], "back": [wide, BASE], "text": [[(1, "id", "bytes")], [(1, "id", "string")]], "long": [BASE, wide, wide]})
+    v = {(r.subject, r.version): r for r in reg.compat(registry, fields, rules=rules).collect()}
+    told = lambda r: (r.backward, r.forward, r.full, r.transitive_backward, r.transitive_forward, r.transitive_full)
+    assert told(v["wider", 2]) == (True, False, False, True, False, False)
+    assert told(v["back", 2]) == (False, False, False, False, False, False)
+    assert told(v["text", 2]) == (False, True, False, False, True, False)
+    assert told(v["long", 3]) == (True, True, True, True, False, False)
+
+
+@pytest.mark.parametrize("width", [2, reg.WIDTH])
+def test_lifetimes_and_reuse(spark, width):
+    a, b = [(1, "id", "string"), (2, "a", "int32")], [(1, "id", "string"), (2, "b", "int32")]
+    gone = [(1, "id", "string")]
+    histories = {"renamed": [a, b], "reused": [a, gone, b], "same": [a, gone, a], "held": [a, [*gone, (2, "a", "int32", True)], b], "often": [a, gone, b, gone, a]}
+    registry, fields = build(spark, histories)
+    runs = reg.lifetimes(registry, fields, width)
+    got = {(r.subject, r.name, r.first_version, r.last_version, r.reused) for r in runs.where("field_no = 2").collect()}
+    assert got == {
+        ("renamed", "a", 1, 1, False), ("renamed", "b", 2, 2, False), ("reused", "a", 1, 1, False), ("reused", "b", 3, 3, True),
+        ("same", "a", 1, 1, False), ("same", "a", 3, 3, False), ("held", "a", 1, 1, False), ("held", "b", 3, 3, True),
+        ("often", "a", 1, 1, False), ("often", "b", 3, 3, True), ("often", "a", 5, 5, True),
+    }
+    pairs = spark.createDataFrame([(s, 1, len(h)) for s, h in histories.items()], "subject string, old_version int, new_version int")
+    since = {(r.subject, r.field_no) for r in reg.reused_since(runs, pairs).collect()}
+    assert since == {("reused", 2), ("held", 2), ("often", 2)}
+    # Dropping the version between leaves a plain rename.
+    assert {r.reused for r in reg.lifetimes(reg.drop_version(registry, "reused", 2), fields, width).where("subject = 'reused'").collect()} == {False}
+
+
+def test_field_diff_flags(spark):
+    kinds = "subject string, field_no int, name string, type string"
+    old = spark.createDataFrame([("s", 1, "a", "string"), ("s", 2, "b", "int32"), ("s", 3, "c", "int32")], kinds)
+    new = spark.createDataFrame([("s", 1, "z", "int32"), ("s", 5, "b", "int32"), ("s", 6, "n", "bool")], kinds)
+    reused = spark.createDataFrame([("s", 6), ("s", 3)], "subject string, field_no int")
+    names = ("added", "removed", "renamed", "retyped", "renumbered", "reused")
+    got = {r.field_no: {n for n in names if r[n]} for r in reg.field_diff(old, new, ["subject"], reused).collect()}
+    assert got == {1: {"renamed", "retyped"}, 2: {"removed", "renumbered"}, 3: {"removed"}, 5: {"added", "renumbered"}, 6: {"added", "reused"}}

@@ -11,7 +11,8 @@ from tidelog.operators.filters import with_outcome
 from tidelog.plans import derive as d
 from tidelog.plans import sql as s
 from tidelog.plans.catalog import ORACLES, query
-from tidelog.schemas import ORDER_V1, ORDER_V2, WIRE, Field
+from tidelog.plans.messages import ADDRESS
+from tidelog.schemas import ORDER_V1, ORDER_V2, Field
 from tidelog.sources import descriptors as ds
 
 LINE = (
@@ -121,7 +122,7 @@ def _decoded(spark, sf, rows):
     split = wire.split_envelope(d.order_topic(spark, sf)).drop("magic", "message_index")
     out = with_outcome(ds.decode_registry(split, writers, ds.reader_fields(writers, 1), rows=rows))
     return out.select(
-        "topic", "partition", "offset", "schema_id", "id", "customer_id", "item", "amount", "status",
+        *ADDRESS, "schema_id", "id", "customer_id", "item", "amount", "status",
         F.unix_millis("created_at").alias("created_ms"), "region", "outcome",
     )
 
