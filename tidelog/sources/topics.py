@@ -13,6 +13,8 @@ from tidelog.operators.lookup import lookup, settled
 from tidelog.schemas import TOPIC, Field
 
 ADDRESS = ["topic", "partition"]
+# Disjoint intervals that a scan is asked for one by one.
+INTERVALS = 64
 
 
 def read_topic(
@@ -81,22 +83,39 @@ def _once(table: DataFrame) -> DataFrame:
     return table if few is None else few
 
 
+def merged(ranges: DataFrame, low: str | None, high: str) -> DataFrame:
+    """``topic, partition, lo, hi``: the ranges as disjoint intervals, by one sweep in order of their starts."""
+    spans = ranges.select(*ADDRESS, (F.col(low) if low else F.lit(0)).cast("bigint").alias("lo"), F.col(high).cast("bigint").alias("hi"))
+    order = Window.partitionBy(*ADDRESS).orderBy("lo", "hi")
+    far = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("far").isNull() | (F.col("lo") > F.col("far")), 1).otherwise(0)
+    swept = spans.where("hi > lo").withColumn("far", far).withColumn("run", F.sum(opens).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return swept.groupBy(*ADDRESS, "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("run")
+
+
 def _reachable(df: DataFrame, ranges: DataFrame, low: str | None, high: str) -> DataFrame:
-    """The records between the lowest and the highest address of ``ranges``.
+    """The records in any of the ranges, or around them if they are many.
 
     The bounds are literals, so a landed log leaves out the folders, files and row groups
-    beyond them. Rows outside would find no partner in the join that follows.
+    that no range touches, also between two that lie far apart. More than ``INTERVALS``
+    disjoint intervals become the one box that holds them all. Rows that are left too many
+    find no partner in the join that follows.
     """
-    ends = [*((c, c) for c in ADDRESS), *([("offset", low)] if low else [])]
-    row = ranges.agg(
-        *[F.min(b).alias(f"lo_{c}") for c, b in ends],
-        *[F.max(c).alias(f"hi_{c}") for c in ADDRESS], F.max(high).alias("end"),
-    ).first()
-    for c, _ in ends:
-        df = df.where(F.col(c) >= F.lit(row[f"lo_{c}"]))
-    for c in ADDRESS:
-        df = df.where(F.col(c) <= F.lit(row[f"hi_{c}"]))
-    return df.where(F.col("offset") < F.lit(row["end"]))
+    intervals = merged(ranges, low, high)
+    few = settled(intervals, INTERVALS)
+    if few is None:
+        row = intervals.agg(
+            *[F.min(c).alias(f"lo_{c}") for c in ADDRESS], *[F.max(c).alias(f"hi_{c}") for c in ADDRESS],
+            F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        ).first()
+        for c in ADDRESS:
+            df = df.where(F.col(c).between(F.lit(row[f"lo_{c}"]), F.lit(row[f"hi_{c}"])))
+        return df.where((F.col("offset") >= F.lit(row["lo"])) & (F.col("offset") < F.lit(row["hi"])))
+    inside = F.lit(False)
+    for r in few.collect():
+        here = (F.col("topic") == F.lit(r.topic)) & (F.col("partition") == F.lit(r.partition))
+        inside = inside | (here & (F.col("offset") >= F.lit(r.lo)) & (F.col("offset") < F.lit(r.hi)))
+    return df.where(inside)
 
 
 def read_first(df: DataFrame, n: int, per_partition: bool = True) -> DataFrame:
