@@ -11,7 +11,7 @@ def test_held_out_accuracy(spark):
     got = language.op6_language(spark, "/root/testdata/sf0.01")
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     judged = got.join(truth, "doc_id").where("held_out and lang is not null and lang_pred <> 'und'")
-    right, every = judged.agg(F.count_if("lang = lang_pred"), F.count("*")).first()
+    right, every = judged.agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
     assert every > 100 and right >= 0.97 * every
 
 
