@@ -114,3 +114,63 @@ def test_sessions_with_beats_at_the_timeout(spark):
     got = landed.session_gaps(landed.sessions(df)).collect()
     want = liveness_gaps(df).collect()
     assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) == 3
+
+
+def budgets(spark, place, n, each=True, sink=None):
+    mine = f"{place}/{n}-{each}"
+    stream = landed.addresses(spark, ["t"], f"{place}/log")
+    consume.start(stream, landed.budgeted(sink or keep(mine), f"{place}/log", mine, n, each), f"{mine}/position").awaitTermination()
+    rows = spark.read.schema("partition int, offset bigint, batch_id int").parquet(f"{mine}/out").collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.batch_id, []).append((r.partition, r.offset))
+    return [sorted(found[k]) for k in sorted(found)]
+
+
+def test_batches_hold_as_many_records_whatever_the_files(spark):
+    place = fresh_path(spark, "budget")
+    land(spark, place, [0, 4, 6, 9])  # holes, and files that overlap
+    land(spark, place, [1, 2, 3, 7])
+    land(spark, place, [0, 1], partition=1)
+    every = [(0, o) for o in (0, 1, 2, 3, 4, 6, 7, 9)]
+    other = [(1, 0), (1, 1)]
+    assert budgets(spark, place, 3) == [every[:3] + other, every[3:6], every[6:]]
+    assert budgets(spark, place, 3, False) == [every[:3], every[3:6], every[6:] + other[:1], other[1:]]
+    assert budgets(spark, place, 100) == [every + other]
+    assert budgets(spark, place, 1)[0] == [(0, 0), (1, 0)]
+    land(spark, place, [10, 11])
+    land(spark, place, [5])  # late
+    assert budgets(spark, place, 3)[3:] == [[(0, 5), (0, 10), (0, 11)]]
+    with pytest.raises(ValueError):
+        landed.budgeted(keep(place), place, place, 0)
+
+
+def test_a_budgeted_stream_that_is_cut_off_repeats_its_numbers(spark):
+    place = fresh_path(spark, "cut-off")
+    land(spark, place, range(10))
+    seen = []
+
+    def once(batch, number):
+        seen.append((number, batch.count()))
+        if len(seen) == 2:
+            raise RuntimeError("lost")
+        keep(f"{place}/4-True")(batch, number)
+
+    with pytest.raises(StreamingQueryException):
+        budgets(spark, place, 4, sink=once)
+    assert budgets(spark, place, 4, sink=once) == [[(0, o) for o in range(k, min(k + 4, 10))] for k in (0, 4, 8)]
+    assert seen == [(0, 4), (1, 4), (0, 4), (1, 4), (2, 2)]
+
+
+def test_a_batch_reads_only_the_files_that_hold_its_offsets(spark):
+    place = fresh_path(spark, "files")
+    for k in range(4):
+        land(spark, place, range(k * 5, k * 5 + 5))
+    names = []
+
+    def note(batch, number):
+        names.append(len(batch.inputFiles()))
+        keep(f"{place}/5-True")(batch, number)
+
+    assert len(budgets(spark, place, 5, sink=note)) == 4
+    assert names == [1, 1, 1, 1]

@@ -138,6 +138,39 @@ def stream_resume(spark, sf):
     return out
 
 
+@query(
+    "stream_first_n",
+    f"""WITH {s.LOG}, {s.BOUNDS}, edge AS (SELECT topic, partition, log_end // 2 AS half, log_end FROM bounds),
+part AS (
+  SELECT topic, partition, "offset", "offset" >= half AS late, CASE WHEN "offset" < half THEN "offset" ELSE "offset" - half END AS nth,
+         row_number() OVER (PARTITION BY "offset" >= half ORDER BY topic, partition, "offset") - 1 AS pos,
+         (SELECT max(log_end) // 6 + 1 FROM edge) AS n
+  FROM log JOIN edge USING (topic, partition)),
+base AS (SELECT max(nth // n) + 1 AS each, max(pos // n) + 1 AS whole FROM part WHERE NOT late)
+SELECT 'partition' AS budget, topic, partition, "offset", (nth // n + CASE WHEN late THEN each ELSE 0 END)::BIGINT AS batch FROM part, base
+UNION ALL SELECT 'topic', topic, partition, "offset", (pos // n + CASE WHEN late THEN whole ELSE 0 END)::BIGINT FROM part, base""",
+)
+def stream_first_n(spark, sf):
+    """Both halves of every partition are read in batches of as many records, of a partition or of the topic."""
+    place = fresh_path(spark, "budget")
+    log = d.events_log(spark, sf).select(*TOPIC.names)
+    ends = cut(bounds(log).select("topic", "partition", F.expr("log_end div 2").alias("half"), "log_end"))
+    n = ends.agg(F.expr("max(log_end) div 6 + 1")).first()[0]
+    parted = cut(lookup(log, ends.drop("log_end"), ["topic", "partition"]))
+    out, budgets = None, (("partition", True), ("topic", False))
+    for half in ("offset < half", "offset >= half"):
+        append(parted.where(half).drop("half"), f"{place}/log")
+        for budget, each in budgets:
+            mine = f"{place}/{budget}"
+            stream = landed.addresses(spark, ["events"], f"{place}/log")
+            _finish(stream, landed.budgeted(_collect(mine), f"{place}/log", mine, n, each), mine)
+    for budget, _ in budgets:
+        rows = spark.read.schema("topic string, partition int, offset bigint, batch_id bigint").parquet(f"{place}/{budget}/out")
+        rows = rows.select(F.lit(budget).alias("budget"), "topic", "partition", "offset", F.col("batch_id").alias("batch"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query(
     "stream_loss",
     f"""WITH {s.LOG}, {s.BOUNDS}, edge AS (SELECT *, log_end // 4 AS one, log_end // 2 AS half FROM bounds)

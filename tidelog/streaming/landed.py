@@ -15,16 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidelog.operators.lookup import settled
+from tidelog.operators.blocks import number_rows
+from tidelog.operators.lookup import lookup, settled
 from tidelog.operators.ordering import offset_gaps
 from tidelog.operators.positions import bounds
-from tidelog.sources.topics import read_topic
+from tidelog.schemas import TOPIC
+from tidelog.sources.topics import read_range, read_topic
 from tidelog.streaming.consume import Sink
 
 ADDRESS = ["topic", "partition"]
 _REACHED = "topic string, partition int, first bigint, past bigint, batch_id bigint"
 _LOST = "topic string, partition int, lost_from bigint, lost_to bigint, batch_id bigint"
 _ENDS = "topic string, partition int, log_end bigint, at bigint"
+_SLICES = "topic string, partition int, from_offset bigint, to_offset bigint, number bigint, batch_id bigint"
+# Files that a budgeted stream plans at once, and repeats at most when it is cut off.
+FILES = 1_000
 
 
 class DataLoss(Exception):
@@ -116,6 +121,64 @@ def lost_ranges(spark: SparkSession, place: str) -> DataFrame:
     return _table(spark, f"{place}/lost", _LOST)
 
 
+def addresses(spark: SparkSession, topics: list[str], path: str, files: int = FILES) -> DataFrame:
+    """SRC-3: the stream that ``budgeted`` plans on: addresses and their files, no payload."""
+    stream = spark.readStream.schema(TOPIC).option("maxFilesPerTrigger", files).parquet(path)
+    return stream.where(F.col("topic").isin(topics)).select(*ADDRESS, "offset", F.col("_metadata.file_path").alias("file"))
+
+
+def _slices(held: DataFrame, max_records: int, per_partition: bool) -> DataFrame:
+    """``topic, partition, from_offset, to_offset, slice``: offset ranges of the budgets, in order."""
+    sizes = held.groupBy(*ADDRESS).agg(F.count("*").alias("_n"), (F.max("offset") + 1).alias("_past"))
+    earlier = Window.orderBy(*ADDRESS).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.lit(0) if per_partition else F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    ranked = number_rows(held.select(*ADDRESS, "offset"), ADDRESS, ["offset"], "_rank", unique="offset")
+    placed = lookup(ranked, sizes.withColumn("_start", start).drop("_n"), ADDRESS).withColumn("_pos", F.col("_rank") + F.col("_start"))
+    # Only the first record of each slice is left, so the window below sees few rows.
+    cuts = placed.where((F.col("_pos") % max_records == 0) | (F.col("_rank") == 0))
+    after = F.lead("offset").over(Window.partitionBy(*ADDRESS).orderBy("offset"))
+    return cuts.select(
+        *ADDRESS, F.col("offset").alias("from_offset"), F.coalesce(after, "_past").alias("to_offset"),
+        F.expr(f"_pos div {int(max_records)}L").alias("slice"),
+    )
+
+
+def budgeted(sink: Sink, path: str, place: str, max_records: int, per_partition: bool = True) -> Sink:
+    """SRC-3: a sink for ``addresses`` that hands on the landed records in batches of ``max_records``.
+
+    A file source counts files. Here the addresses of the new files are ranked in order of
+    offset, and every ``max_records``-th one is where a batch begins: of each partition, or
+    of the whole topic in log order. Batches are full but the last of a plan, whatever the
+    sizes of the files, their overlaps, and holes in the offsets. ``sink`` gets the records
+    of a batch, read from the files that hold its offsets alone, and its number. The plan is
+    kept beside the stream; a stream that is cut off repeats its last plan under the same numbers, so
+    a sink that replaces by number holds each record once. An address may land once only.
+    """
+    if max_records < 1:
+        raise ValueError("a batch has at least one record")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = _table(spark, f"{place}/slices", _SLICES)
+        last = known.where(F.col("batch_id") < batch_id).agg(F.max("number")).first()[0]
+        base = 0 if last is None else last + 1
+        planned = _slices(batch, max_records, per_partition).withColumn("number", F.col("slice") + base).drop("slice")
+        planned.write.mode("overwrite").parquet(f"{place}/slices/batch_id={batch_id}")
+        mine = spark.read.schema(_SLICES).parquet(f"{place}/slices/batch_id={batch_id}").drop("batch_id")
+        spread = batch.groupBy(*ADDRESS, "file").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"))
+        spread.write.mode("overwrite").parquet(f"{place}/files/batch_id={batch_id}")
+        spread = spark.read.parquet(f"{place}/files/batch_id={batch_id}")
+        top = mine.agg(F.max("number")).first()[0]
+        for number in range(base, base if top is None else top + 1):
+            ranges = mine.where(F.col("number") == number).drop("number")
+            touched = spread.join(ranges, ADDRESS).where("lo < to_offset and hi >= from_offset").select("file").distinct()
+            files = [r.file for r in touched.collect()]
+            records = spark.read.schema(TOPIC).option("basePath", path).parquet(*files)
+            sink(read_range(records, ranges), number)
+
+    return write
+
+
 def tracked(sink: Sink, place: str) -> Sink:
     """STR-10: a sink that then writes the highest offset of each partition under its batch number."""
 
