@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,6 +31,8 @@ def read_topic(
 
     With ``path`` the topic is a landed log: parquet with the ``TOPIC`` columns, laid out
     by topic and partition. With ``servers`` it is read through the Kafka connector.
+    ``max_per_trigger`` counts records of a broker, but files of a landed log, where
+    ``streaming.landed.budgeted`` counts records (SRC-3).
     ``fail_on_data_loss`` is STR-8: stop, or go on, when offsets have expired. On a landed log
     ``reset="latest"`` and the check for lost offsets need tables beside the stream, which
     ``streaming.landed`` keeps (``start_positions``, ``read_from``, ``guarded``); here they are
@@ -111,11 +113,16 @@ def _reachable(df: DataFrame, ranges: DataFrame, low: str | None, high: str) ->
         for c in ADDRESS:
             df = df.where(F.col(c).between(F.lit(row[f"lo_{c}"]), F.lit(row[f"hi_{c}"])))
         return df.where((F.col("offset") >= F.lit(row["lo"])) & (F.col("offset") < F.lit(row["hi"])))
+    return df.where(within(few.collect()))
+
+
+def within(intervals: list[Row]) -> Column:
+    """Whether a record lies in one of a few intervals ``topic, partition, lo, hi``, as literals for the scan."""
     inside = F.lit(False)
-    for r in few.collect():
+    for r in intervals:
         here = (F.col("topic") == F.lit(r.topic)) & (F.col("partition") == F.lit(r.partition))
         inside = inside | (here & (F.col("offset") >= F.lit(r.lo)) & (F.col("offset") < F.lit(r.hi)))
-    return df.where(inside)
+    return inside
 
 
 def read_first(df: DataFrame, n: int, per_partition: bool = True) -> DataFrame:
