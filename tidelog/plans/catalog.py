@@ -29,4 +29,4 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 def load() -> None:
     """Import every module that registers queries."""
     from tidelog.plans import defaults, delivery, logs, messages, retention, schemas, streams  # noqa: F401
-    from tidelog.plans import nested, scales  # noqa: F401  # some of their twins are those of the others
+    from tidelog.plans import guarantees, nested, scales  # noqa: F401  # some of their twins are those of the others
