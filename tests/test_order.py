@@ -41,6 +41,37 @@ def test_numbering_by_range_with_ties(log):
         assert [x for _, x in mine] == sorted(x for _, x in mine)
 
 
+@pytest.mark.parametrize("ranges", [None, 1, 40, 400])
+def test_numbering_by_splitters(spark, ranges):
+    """Nulls in groups and order, one value with half of all rows, several order columns."""
+    df = spark.range(4000).selectExpr(
+        "if(id % 3 = 0, 'a', if(id % 3 = 1, 'b', null)) g", "if(id % 2 = 0, 7, cast(hash(id) % 50 as int)) x",
+        "if(id % 5 = 0, null, cast(hash(id) as string)) y", "timestamp_seconds(id % 100) t", "id",
+    ).repartition(5)
+    out = number_rows(df, ["g"], ["x", "t", "y"], "n", ranges=ranges)
+    assert out.columns == [*df.columns, "n"]
+    got = out.collect()
+    assert sorted(r.id for r in got) == list(range(4000))
+    for g in ("a", "b", None):
+        mine = sorted((r.n, r.x, r.t, r.y is not None, r.y or "") for r in got if r.g == g)
+        assert [r[0] for r in mine] == list(range(len(mine)))
+        assert [r[1:] for r in mine] == sorted(r[1:] for r in mine)
+
+
+def test_numbering_keeps_input_order_of_ties(spark):
+    df = spark.range(0, 1000, 1, 4).selectExpr("'k' g", "1 x", "id")
+    got = number_rows(df, ["g"], ["x"], "n", ranges=30).collect()
+    assert [r.id for r in sorted(got, key=lambda r: r.n)] == list(range(1000))
+
+
+def test_numbering_by_splitters_moves_only_what_is_asked_for(spark):
+    df = spark.range(1000).selectExpr("'k' g", "id % 10 x", "repeat('p', 500) payload")
+    out = number_rows(df, ["g"], ["x"], "n", ranges=8)
+    plan = out.select("x", "n")._jdf.queryExecution().executedPlan().toString()
+    assert "payload" not in plan and "rangepartitioning" not in plan
+    assert number_rows(df.where("x > 10"), ["g"], ["x"], "n").count() == 0
+
+
 @pytest.mark.parametrize("width", [5, 64, 1 << 20])
 @pytest.mark.parametrize("keys", [["topic", "partition"], ["topic", "partition", "key"]])
 def test_running_values(log, width, keys):

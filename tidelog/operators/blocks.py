@@ -17,6 +17,9 @@ from tidelog.scratch import cut
 
 # Rows of one block when the ordering column is unique within its group.
 BLOCK = 1 << 20
+# Ranges of any other order, at most, and sampled rows for each of them.
+RANGES = 1 << 16
+SAMPLED = 16
 
 
 def block_id(order: str, width: int = BLOCK) -> Column:
@@ -31,18 +34,21 @@ def number_rows(
     out: str = "offset",
     unique: str | None = None,
     width: int = BLOCK,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Number the rows of each group 0, 1, 2, ... in ``order``.
 
     ``unique`` names a non-negative integral column that alone fixes the order and has no
     repeats in a group; numbering is then lazy: block counts, a running sum over them, and
-    a window inside each block. The numbers may be sparse. Any other order is placed by one range shuffle that is
-    written to the shared folder, so that counting and numbering see the same placement;
-    rows equal on ``order`` keep their input order and do not pile up in one task.
+    a window inside each block. The numbers may be sparse. For any other order the rows are
+    written to the shared folder once, unmoved, and cut into ``ranges`` of about equal size
+    by sampled splitters; counting reads the order columns alone, and only columns that are
+    asked for later take part in the one shuffle. Rows equal on ``order`` keep their input
+    order and do not pile up in one task.
     """
     if unique is not None:
         return _number_blocks(df, groups, unique, out, width)
-    return _number_ranges(df, groups, order, out)
+    return _number_ranges(df, groups, order, out, ranges)
 
 
 def _starts(sizes: DataFrame, groups: list[str], part: str) -> DataFrame:
@@ -67,25 +73,47 @@ def _number_blocks(df, groups, unique, out, width):
     )
 
 
-def _number_ranges(df, groups, order, out):
-    # Written before it is shuffled on: a task that runs again would number rows otherwise.
+def _number_ranges(df, groups, order, out, ranges):
+    # Written once, where it is: all passes below must see the same rows in the same order.
     seen = cut(df.withColumn("_seen", F.monotonically_increasing_id()))
     by = [*groups, *order, "_seen"]
-    placed = cut(
-        seen.repartitionByRange(*by)
-        .sortWithinPartitions(*by)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_blk", F.shiftright("_at", 33))
-        .drop("_seen")
-    )
-    placed = placed.withColumn("_spot", F.struct(*groups, "_blk"))
-    sizes = placed.groupBy("_spot").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    starts = _starts(sizes.select("_spot", "_spot.*", "_n", "_first"), groups, "_blk").select("_spot", "_start", "_first")
+    marked = _ranged(seen, by, ranges).withColumn("_spot", F.struct(*groups, "_blk")).drop("_blk")
+    sizes = marked.groupBy("_spot").agg(F.count("*").alias("_n")).select("_spot", "_spot.*", "_n")
+    starts = _starts(sizes, groups, "_blk").select("_spot", "_start")
+    inside = Window.partitionBy("_spot").orderBy(*order, "_seen")
     return (
-        placed.join(starts, "_spot")
-        .withColumn(out, F.col("_start") + F.col("_at") - F.col("_first"))
-        .drop("_spot", "_blk", "_at", "_start", "_first")
+        marked.join(starts, "_spot", "left")
+        .withColumn(out, F.row_number().over(inside) - 1 + F.col("_start"))
+        .drop("_spot", "_start", "_seen")
+    )
+
+
+def _ranged(df: DataFrame, by: list[str], ranges: int | None) -> DataFrame:
+    """Add ``_blk``, the range of a row in the order ``by``: how many splitters are not above it.
+
+    The splitters are a written table of one row, so every pass places a row alike. They
+    come from a sample, which decides how even the ranges are and nothing else.
+    """
+    total = df.count()
+    if ranges is None:
+        ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK))
+    ranges = min(ranges, RANGES)
+    share = min(1.0, ranges * SAMPLED / max(total, 1))
+    every = max(1, int(total * share) // ranges)
+    sampled = df.select(F.struct(*by).alias("_row")).sample(share, seed=1)
+    ordered = sampled.agg(F.sort_array(F.collect_list("_row")).alias("_all"))
+    splitters = cut(ordered.select(F.filter("_all", lambda _, i: i % every == every - 1).alias("_at")))
+    count = splitters.select(F.size("_at")).first()[0]
+    if not count:
+        return df.withColumn("_blk", F.lit(0))
+    steps, row = F.array(*[F.lit(1 << k) for k in reversed(range(count.bit_length()))]), F.struct(*by)
+    # Binary search: a step is taken if the splitter it leads to exists and is not above the row.
+    taken = F.aggregate(
+        steps, F.lit(0),
+        lambda at, step: F.when((at + step <= count) & (F.get("_splitters", at + step - 1) <= row), at + step).otherwise(at),
     )
+    # The optimizer moves the subquery into the search, so no row carries the splitters.
+    return df.withColumn("_splitters", splitters.scalar()).withColumn("_blk", taken).drop("_splitters")
 
 
 def before(
