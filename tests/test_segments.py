@@ -154,3 +154,31 @@ def test_archive_and_hot_make_the_log(spark):
         closed_or_hot = records.where("not is_active or offset >= 100").select(log.columns)
         assert tiered.exceptAll(closed_or_hot).count() == 0
         assert tiered.count() == closed_or_hot.count()
+
+
+def test_segments_of_records_without_a_join_on_the_segment(spark):
+    """One segment may be a whole partition, so it must not be a shuffle key."""
+    rows = [(p, i * 2, NOW + i * 60_000, f"k{i % 3}", 10 + i % 7) for p in (0, 1) for i in range(60)]
+    log, cfg = topic(spark, rows), config(spark, segment_bytes=100)
+    table = seg.segment_table(log, cfg, NOW + DAY)
+    out = seg.segments(log, cfg, NOW + DAY, table)
+    assert out.columns == [*log.columns, "segment_base", "segment_id", "is_active"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Join" in line and "segment_base" in line.split("Join")[1]]
+    got = {(r.partition, r.offset): (r.segment_base, r.segment_id, r.is_active) for r in out.collect()}
+    held = table.collect()
+    for (p, offset), found in got.items():
+        want = max((s for s in held if s.partition == p and s.segment_base <= offset), key=lambda s: s.segment_base)
+        assert found == (want.segment_base, want.segment_id, want.is_active)
+    assert len(got) == 120
+
+
+def test_time_rule_drops_whole_segments(spark):
+    rows = [(0, i, NOW - 10 * DAY + i * DAY // 4, "k", 50) for i in range(40)]
+    log, cfg = topic(spark, rows), config(spark, segment_bytes=200, retention_ms=3 * DAY)
+    table = seg.segment_table(log, cfg, NOW)
+    judged = ret.judged(table, cfg, NOW)
+    kept = ret.retain_time(seg.segments(log, cfg, NOW, table), judged).collect()
+    bases = {r.segment_base for r in judged.where("keep_time").collect()}
+    assert {r.segment_base for r in kept} == bases
+    assert sorted(r.offset for r in kept) == [o for o in range(40) if max(b.segment_base for b in table.collect() if b.segment_base <= o) in bases]

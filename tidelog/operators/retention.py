@@ -45,7 +45,7 @@ def judged(table: DataFrame, config: DataFrame, now_ms: int) -> DataFrame:
 def retain_time(records: DataFrame, segs: DataFrame) -> DataFrame:
     """RET-2: records of segments the time rule keeps. ``records`` carry ``segment_base``."""
     kept = segs.where("keep_time").select(*ADDRESS, "segment_base")
-    return records.join(kept, [*ADDRESS, "segment_base"], "left_semi")
+    return lookup(records, kept, [*ADDRESS, "segment_base"], "left_semi")
 
 
 def log_start_after(segs: DataFrame) -> DataFrame:

@@ -281,11 +281,12 @@ def _numbered(whole: DataFrame, now_ms: int) -> DataFrame:
 def segments(log: DataFrame, config: DataFrame, now_ms: int, table: DataFrame | None = None) -> DataFrame:
     """RET-1: every record with ``segment_id``, ``segment_base`` and ``is_active``.
 
-    The base is carried forward inside blocks of the log, so no task sees a whole partition.
+    A segment is carried forward from its first record inside blocks of the log, with its id
+    and state, so no task sees a whole partition, and none a whole segment.
     """
     table = segment_table(log, config, now_ms) if table is None else table
-    starts = table.select(*ADDRESS, F.col("segment_base").alias("offset"), F.col("segment_base").alias("_start"))
+    # Structs compare by their first field, so the latest start is the largest one.
+    starts = table.select(*ADDRESS, F.col("segment_base").alias("offset"), F.struct("segment_base", "segment_id", "is_active").alias("_start"))
     marked = log.join(starts, [*ADDRESS, "offset"], "left")
-    placed = before(marked, ADDRESS, "offset", {"segment_base": ("max", "_start")}, inclusive=True)
-    ids = table.select(*ADDRESS, "segment_base", "segment_id", "is_active")
-    return placed.drop("_start").join(ids, [*ADDRESS, "segment_base"])
+    placed = before(marked, ADDRESS, "offset", {"_segment": ("max", "_start")}, inclusive=True)
+    return placed.where("_segment is not null").select(*log.columns, "_segment.*")
