@@ -118,13 +118,16 @@ def scan(docs: DataFrame, known: DataFrame, hints: str = HINTS) -> DataFrame:
 
     The whole text, its paragraphs and its lines are made canonical and joined to the known
     digests; ``n_hits`` counts the different units that match, ``whole`` tells whether the
-    entire text does, ``licenses`` names what was found, in order. Rows of one ``doc_id``
-    (null too) share their hits. Null and empty texts have none, other columns are ignored.
+    entire text does, ``licenses`` names what was found, in order. Rows that share a ``doc_id``
+    (or have none) are judged by their own texts; repeated rows alike. Null and empty texts
+    have no hits, very long ones are searched whole, other columns are ignored, no rows give
+    no rows.
     A licence of several paragraphs counts as one unit wherever all its paragraphs follow one
     another. Texts without any of ``hints`` can't hold a known text and aren't cut up.
     """
     hints = f"{hints}|{BSD_HINT}"
     text = F.col("text")
+    key = F.struct(F.col("doc_id"), F.xxhash64(text).alias("of")).alias("key")
     cuts = F.concat(F.split(text, r"\n[ \t]*\n"), F.split(text, "\n"))
     units = F.concat(
         F.array(F.struct(text.alias("unit"), F.lit(True).alias("whole"))),
@@ -132,24 +135,22 @@ def scan(docs: DataFrame, known: DataFrame, hints: str = HINTS) -> DataFrame:
     )
     parts = (
         docs.filter(F.lower(text).rlike(hints))
-        .select(F.struct(F.col("doc_id")).alias("key"), F.explode(units).alias("u"))
+        .select(key, F.explode(units).alias("u"))
         .filter(F.lower(F.col("u.unit")).rlike(hints))
         .select("key", "u.whole", F.sha2(canonical(F.col("u.unit")), 256).alias("digest"))
     )
     # The list of known texts is a parameter of some hundred rows at most, not data.
     found = parts.join(F.broadcast(known), "digest").select("key", "whole", "digest", "license")
-    pieces = docs.filter(F.lower(text).rlike(hints)).select(
-        F.struct(F.col("doc_id")).alias("key"), F.xxhash64(text).alias("of"), F.posexplode(_paragraphs(text)).alias("at", "part")
-    )
+    pieces = docs.filter(F.lower(text).rlike(hints)).select(key, F.posexplode(_paragraphs(text)).alias("at", "part"))
     inside = pieces.join(F.broadcast(runs(docs.sparkSession)), "part").groupBy(
-        "key", "of", "digest", "license", "way", "size", (F.col("at") - F.col("j")).alias("start")
+        "key", "digest", "license", "way", "size", (F.col("at") - F.col("j")).alias("start")
     ).agg(F.count_distinct("j").alias("held")).filter("held = size")
     found = found.union(inside.select("key", F.lit(False).alias("whole"), "digest", "license"))
     hits = found.groupBy("key").agg(
         F.max("whole").alias("whole"), F.count_distinct("digest").alias("n_hits"),
         F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),
     )
-    rows = docs.select(F.struct(F.col("doc_id")).alias("key"))
+    rows = docs.select(key)
     return rows.join(hits, "key", "left").select(
         "key.doc_id", F.coalesce("whole", F.lit(False)).alias("whole"), F.coalesce("n_hits", F.lit(0)).cast("long").alias("n_hits"),
         F.coalesce("licenses", F.lit("")).alias("licenses"),
@@ -172,11 +173,11 @@ SQL = f"""
 WITH known AS (
   SELECT sha256({_sql_canonical("text")}) AS digest, min(license) AS license FROM (VALUES {_VALUES}) k(license, text) GROUP BY 1),
 units AS (
-  SELECT doc_id, text AS unit, true AS whole FROM documents
-  UNION SELECT doc_id, u, false FROM (SELECT doc_id, text, unnest(list_concat(regexp_split_to_array(text, '\\n[ \\t]*\\n'), string_split(text, chr(10)))) AS u FROM documents) WHERE u <> text),
+  SELECT doc_id, text, text AS unit, true AS whole FROM documents
+  UNION SELECT doc_id, text, u, false FROM (SELECT doc_id, text, unnest(list_concat(regexp_split_to_array(text, '\\n[ \\t]*\\n'), string_split(text, chr(10)))) AS u FROM documents) WHERE u <> text),
 hits AS (
-  SELECT doc_id, bool_or(whole) AS whole, count(DISTINCT digest)::BIGINT AS n_hits, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses
-  FROM (SELECT doc_id, whole, sha256({_sql_canonical("unit")}) AS digest FROM units WHERE regexp_matches(lower(unit), '{HINTS}')) JOIN known USING (digest) GROUP BY doc_id)
+  SELECT doc_id, text, bool_or(whole) AS whole, count(DISTINCT digest)::BIGINT AS n_hits, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses
+  FROM (SELECT doc_id, text, whole, sha256({_sql_canonical("unit")}) AS digest FROM units WHERE regexp_matches(lower(unit), '{HINTS}')) JOIN known USING (digest) GROUP BY doc_id, text)
 SELECT d.doc_id, coalesce(whole, false) AS whole, coalesce(n_hits, 0)::BIGINT AS n_hits, coalesce(licenses, '') AS licenses
-FROM documents d LEFT JOIN hits h ON d.doc_id IS NOT DISTINCT FROM h.doc_id
+FROM documents d LEFT JOIN hits h ON d.doc_id IS NOT DISTINCT FROM h.doc_id AND d.text = h.text
 """
