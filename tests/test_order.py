@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidelog.operators import ordering
-from tidelog.operators.blocks import before, number_rows
+from tidelog.operators.blocks import _ranged, before, number_rows
 from tidelog.operators.lookup import lookup, settled
+from tidelog.scratch import cut
 
 
 def rows(df):
@@ -64,6 +65,13 @@ def test_numbering_keeps_input_order_of_ties(spark):
     assert [r.id for r in sorted(got, key=lambda r: r.n)] == list(range(1000))
 
 
+def test_splitters_spread_a_hot_value(spark):
+    """A value with two thirds of all rows takes as many ranges as it needs."""
+    df = cut(spark.range(0, 20_000, 1, 4).selectExpr("'k' g", "if(id % 3 < 2, 5, cast(id % 100 as int)) x", "id _seen"))
+    sizes = [r["count"] for r in _ranged(df, ["g", "x", "_seen"], 20).groupBy("_blk").count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) >= 20 and max(sizes) < 5 * 20_000 / 20
+
+
 def test_numbering_by_splitters_moves_only_what_is_asked_for(spark):
     df = spark.range(1000).selectExpr("'k' g", "id % 10 x", "repeat('p', 500) payload")
     out = number_rows(df, ["g"], ["x"], "n", ranges=8)
