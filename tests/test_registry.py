@@ -1,10 +1,17 @@
 """Schema changes with known verdicts, long histories, and registration."""
 
+import json
+import os
 import random
+import subprocess
+import sys
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tidelog.operators import registry as reg
+from tidelog.operators.blocks import before, before_all
 
 REGISTRY = "subject string, version int, schema_id int, message string, descriptor binary"
 FIELDS = "schema_id int, field_no int, name string, type string, reserved boolean"
@@ -74,6 +81,37 @@ def test_long_history_in_blocks(spark):
     assert verdicts(spark, {"s": history}, 4) == verdicts(spark, {"s": history})
 
 
+@pytest.mark.parametrize("width", [2, 5])
+def test_groupings_carried_together(spark, width):
+    """Two groupings at once, each as ``before`` has it; a null group is one like any other."""
+    r = random.Random(5)
+    rows = [(home, i, a, r.choice("xyz"), r.random() < 0.8, r.randrange(9)) for home in ("s", None) for i in range(40) for a in r.sample(range(3), 2)]
+    rows = [x for n, x in enumerate(rows) if not any(x[:2] == y[:2] and x[3] == y[3] for y in rows[:n])]
+    df = spark.createDataFrame(rows, "h string, i int, a int, b string, ok boolean, v int")
+    wanted = {"_last": ("last", "v"), "_sum": ("sum", "v"), "_low": ("min", "v"), "_bits": ("bit_or", "v")}
+    by_b = {f"{out}_b": what for out, what in wanted.items()}
+    both = before_all(df, ["h"], "i", [(["a"], wanted, F.lit(True)), (["b"], by_b, F.col("ok"))], width)
+    told = lambda d, outs: sorted(map(str, d.select("h", "i", "a", "b", *outs).collect()))
+    assert told(both, wanted) == told(before(df, ["h", "a"], "i", wanted, width), wanted)
+    assert told(both.where("ok"), by_b) == told(before(df.where("ok"), ["h", "b"], "i", by_b, width), by_b)
+
+
+@pytest.mark.parametrize("query, most", [("compat_blocks", 270)])
+def test_bytes_shuffled_by_blocks_of_two(tmp_path, query, most):
+    """Bytes shuffled for each declared field of a registry (383 when rows moved once for every grouping)."""
+    con = duckdb.connect()
+    con.sql("CREATE TABLE o AS SELECT i AS o_orderkey, hash(i) % 2000 AS c, CASE hash(i, 1) % 3 WHEN 0 THEN 'O' WHEN 1 THEN 'P' ELSE 'F' END AS o_orderstatus FROM range(20000) t(i)")
+    con.sql(f"COPY (SELECT o_orderkey, c::BIGINT AS o_custkey, o_orderstatus FROM o) TO '{tmp_path}/orders.parquet'")
+    con.sql(f"""COPY (SELECT o_orderkey AS l_orderkey, (n + 1)::INTEGER AS l_linenumber, CASE hash(o_orderkey, n) % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS l_returnflag,
+        CASE hash(o_orderkey, n, 2) % 2 WHEN 0 THEN 'F' ELSE 'O' END AS l_linestatus, (hash(o_orderkey, n, 3) % 9)::DOUBLE / 100 AS l_tax
+        FROM o, range(7) t(n) WHERE n <= hash(o_orderkey, 4) % 7) TO '{tmp_path}/lineitem.parquet'""")
+    con.sql(f"COPY (SELECT l_orderkey FROM '{tmp_path}/lineitem.parquet') TO '{tmp_path}/events.parquet'")
+    bench = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "bench.py")
+    env = os.environ | {"BENCH_SF_DIR": str(tmp_path), "BENCH_CPUS": "4"}
+    done = subprocess.run([sys.executable, bench, query], env=env, capture_output=True, text=True, check=True, timeout=600)
+    assert 0 < json.loads(done.stdout.splitlines()[-1])["shuffle_bytes_per_event"][query] < most
+
+
 def test_field_diff_and_types(spark):
     old = spark.createDataFrame([("s", *f) for f in BASE], "subject string, field_no int, name string, type string")
     new = spark.createDataFrame(
