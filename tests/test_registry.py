@@ -96,9 +96,9 @@ def test_groupings_carried_together(spark, width):
     assert told(both.where("ok"), by_b) == told(before(df.where("ok"), ["h", "b"], "i", by_b, width), by_b)
 
 
-@pytest.mark.parametrize("query, most", [("compat_blocks", 270)])
+@pytest.mark.parametrize("query, most", [("compat_blocks", 270), ("field_lifetimes", 130)])
 def test_bytes_shuffled_by_blocks_of_two(tmp_path, query, most):
-    """Bytes shuffled for each declared field of a registry (383 when rows moved once for every grouping)."""
+    """Bytes shuffled for each declared field of a registry (383 and 211 when rows moved once for every grouping)."""
     con = duckdb.connect()
     con.sql("CREATE TABLE o AS SELECT i AS o_orderkey, hash(i) % 2000 AS c, CASE hash(i, 1) % 3 WHEN 0 THEN 'O' WHEN 1 THEN 'P' ELSE 'F' END AS o_orderstatus FROM range(20000) t(i)")
     con.sql(f"COPY (SELECT o_orderkey, c::BIGINT AS o_custkey, o_orderstatus FROM o) TO '{tmp_path}/orders.parquet'")
@@ -208,6 +208,28 @@ def test_lifetimes_and_reuse(spark, width):
     assert {r.reused for r in reg.lifetimes(reg.drop_version(registry, "reused", 2), fields, width).where("subject = 'reused'").collect()} == {False}
 
 
+@pytest.mark.parametrize("width", [2, 3, 16])
+def test_lifetimes_in_blocks(spark, width):
+    """Runs over many blocks, runs between the first and the last one of a block, and names from blocks before."""
+    r = random.Random(7)
+    histories = {}
+    for subject, share in (("often", 0.5), ("seldom", 0.95), ("always", 1.0)):
+        name, versions = "a", []
+        for _ in range(70):
+            name = r.choice("abc") if r.random() > share else name
+            versions.append([(2, name, "int32")] * (r.random() < share) + [(1, "id", "string")] * (r.random() < 0.9))
+        histories[subject] = versions
+    histories["late"] = [[(2, "a", "int32")]] * 16 + [[(2, n, "int32")] if n else [] for n in [*"bb", None, *"bb", None, *"bb", None, "c"]]
+    registry, fields = build(spark, histories)
+    nobody = registry.where("subject = 'often'").withColumn("subject", F.lit(None).cast("string"))
+    registry = registry.unionByName(nobody)
+    whole, cut_up = (sorted(map(str, reg.lifetimes(registry, fields, w).select(*RUN).collect())) for w in (reg.WIDTH, width))
+    assert whole == cut_up
+
+
+RUN = ["subject", "field_no", "name", "first_version", "last_version", "first_rank", "last_rank", "reused"]
+
+
 def test_field_diff_flags(spark):
     kinds = "subject string, field_no int, name string, type string"
     old = spark.createDataFrame([("s", 1, "a", "string"), ("s", 2, "b", "int32"), ("s", 3, "c", "int32")], kinds)
